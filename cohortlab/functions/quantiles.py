@@ -82,9 +82,9 @@ def _targets(df: DataFrame, by: list[str], columns: Sequence[str], probs: list[f
     )
 
 
-def _resolve(df: DataFrame, by: list[str], columns: Sequence[str], targets: DataFrame) -> DataFrame:
+def _resolve(df: DataFrame, by: list[str], columns: Sequence[str], targets: DataFrame,
+             n_targets: int) -> DataFrame:
     vals = _long_values(df, by, columns)
-    n_targets = targets.count()
     keys = by + ["column"]
     tgt = F.broadcast(targets) if n_targets <= BROADCAST_MAX_ROWS else targets
     j = vals.join(tgt, keys)
@@ -112,56 +112,60 @@ def _resolve(df: DataFrame, by: list[str], columns: Sequence[str], targets: Data
                       (F.col("v_fl").isNotNull() & F.col("v_ce").isNotNull()).alias("_ok"))
 
 
+LITERAL_MAX_ROWS = 10_000
+
+
+def _small_or_cached(df: DataFrame, limit: int = LITERAL_MAX_ROWS) -> tuple[DataFrame, int]:
+    """Materialise a small result in one action: as a literal frame when it has at
+    most ``limit`` rows (short plans downstream), else cached and counted."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) <= limit:
+        spark = df.sparkSession
+        return spark.createDataFrame(rows, df.schema), len(rows)
+    df = df.cache()
+    return df, df.count()
+
+
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                    by: Sequence[str] = (), method: str = "exact",
                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Quantiles of non-null values: one row per (by..., column, prob) with a value.
 
     Groups with a NULL key are left out (they have no group). Columns whose
-    values are all NULL give no row. The result is small and cached.
+    values are all NULL give no row. Two passes over ``df`` for ``exact``.
     """
     by = list(by)
     probs = [float(p) for p in probs]
     base = df
     for b in by:
         base = base.filter(F.col(b).isNotNull())
-    if method == "approx":
-        agg = base.groupBy(*by).agg(*[
-            F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(f"_q{i}")
-            for i, c in enumerate(columns)])
-        rows = []
-        for i, c in enumerate(columns):
-            for j, p in enumerate(probs):
-                rows.append(F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"),
-                                     F.element_at(f"_q{i}", j + 1).alias("value")))
-        out = agg.select(*by, F.explode(F.array(*rows)).alias("_r"))
-        out = out.select(*by, "_r.column", "_r.prob", "_r.value").filter(F.col("value").isNotNull())
-        return out.cache()
-    if method == "spark":
+    if method in ("approx", "spark"):
         aggs = []
         for i, c in enumerate(columns):
             v = F.col(c).cast("double")
-            aggs.append(F.percentile(F.when(~F.isnan(v), v), probs).alias(f"_q{i}"))
+            v = F.when(~F.isnan(v), v)
+            aggs.append((F.percentile_approx(v, probs, accuracy) if method == "approx"
+                         else F.percentile(v, probs)).alias(f"_q{i}"))
         agg = base.groupBy(*by).agg(*aggs)
         rows = [F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"),
                          F.element_at(f"_q{i}", j + 1).alias("value"))
                 for i, c in enumerate(columns) for j, p in enumerate(probs)]
         out = agg.select(*by, F.explode(F.array(*rows)).alias("_r"))
-        return out.select(*by, "_r.column", "_r.prob", "_r.value").filter(
-            F.col("value").isNotNull()).cache()
+        out = out.select(*by, "_r.column", "_r.prob", "_r.value").filter(F.col("value").isNotNull())
+        return _small_or_cached(out)[0]
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
 
-    targets = _targets(base, by, columns, probs, accuracy, open_bracket=False).cache()
-    res = _resolve(base, by, columns, targets).cache()
-    missed = res.filter(~F.col("_ok"))
+    targets, n_t = _small_or_cached(_targets(base, by, columns, probs, accuracy, open_bracket=False))
+    res, _ = _small_or_cached(_resolve(base, by, columns, targets, n_t))
+    missed = res.filter(~F.col("_ok")).select(*by, "column", "prob")
     if missed.limit(1).count():
-        # The sketch bracket missed: redo those targets over all their values.
-        redo = (targets.join(missed.select(*by, "column", "prob"), by + ["column", "prob"])
+        # The sketch bracket missed its ranks: redo those targets over all values.
+        redo = (targets.join(missed, by + ["column", "prob"])
                 .withColumn("lo", F.lit(float("-inf"))).withColumn("hi", F.lit(float("inf"))))
-        fixed = _resolve(base, by, columns, redo)
-        res = res.filter(F.col("_ok")).unionByName(fixed).cache()
-    targets.unpersist()
+        redo, n_r = _small_or_cached(redo)
+        fixed, _ = _small_or_cached(_resolve(base, by, columns, redo, n_r))
+        res = res.filter(F.col("_ok")).unionByName(fixed)
     return res.select(*by, "column", "prob", "value")
 
 

@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlab.functions.quantiles import LITERAL_MAX_ROWS
 from cohortlab.session import BROADCAST_MAX_ROWS
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after counting it; past the limit use a shuffle join.
+    """Join an aggregated lookup table, broadcasting it only when its size is known.
 
-    ``small`` is cached first so the count and the join read it once. The
-    shuffle path relies on AQE's skew-join split for hot keys on the big side.
+    One action sizes it: up to ``LITERAL_MAX_ROWS`` rows it becomes a literal
+    frame (short plan) and is broadcast; up to ``max_rows`` it is cached and
+    broadcast; beyond that it is a shuffle join, where AQE splits skewed
+    partitions of hot keys on the big side.
     """
+    rows = small.limit(LITERAL_MAX_ROWS + 1).collect()
+    if len(rows) <= LITERAL_MAX_ROWS:
+        lit = small.sparkSession.createDataFrame(rows, small.schema)
+        return big.join(F.broadcast(lit), on, how)
     small = small.cache()
-    n = small.count()
-    side = F.broadcast(small) if n <= max_rows else small
+    side = F.broadcast(small) if small.count() <= max_rows else small
     return big.join(side, on, how)

@@ -20,6 +20,7 @@ from cohortlab.operators import drift as D
 from cohortlab.operators import features as FE
 from cohortlab.operators import model as M
 from cohortlab.operators import quality as Q
+from cohortlab.session import cut_lineage
 from cohortlab.sources.adapter import cohorts_from_orders
 
 DRIFT_SPLIT_DAY = "1998-04-17"
@@ -29,8 +30,14 @@ DRIFT_CATEGORICAL = ["channel", "os_name", "country_code", "game_genre"]
 STRICT_GATE = {"min_records": 20000, "max_duplicate_rate": 0.01, "max_missing_rate": 0.012}
 
 
-def rounded(df: DataFrame, scale: int = 4) -> DataFrame:
-    fix = {f.name: F.round(f.name, scale) for f in df.schema.fields
+def round4(c) -> "F.Column":
+    """Round half away from zero on ``x * 10^4`` (the binary product), then scale
+    back: the same doubles in every engine, unlike decimal-string rounding."""
+    return F.round(F.col(c) * 10000.0) / 10000.0
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    fix = {f.name: round4(f.name) for f in df.schema.fields
            if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     return df.withColumns(fix) if fix else df
 
@@ -38,7 +45,9 @@ def rounded(df: DataFrame, scale: int = 4) -> DataFrame:
 # -- shared stages --------------------------------------------------------------
 
 def raw(spark: SparkSession, sf: str, key: bool = True) -> DataFrame:
-    return cohorts_from_orders(spark, sf, with_key=key)
+    """Derived cohort table, written once into the checkpoint folder so the
+    later passes of a query scan it instead of redoing the joins."""
+    return cut_lineage(cohorts_from_orders(spark, sf, with_key=key))
 
 
 def filled(spark, sf):

@@ -441,14 +441,15 @@ def split_ctes() -> list[str]:
         f"revenue_d30 * 2.0 AS prediction FROM tgt)"]
 
 
-def metrics_sql(by: str, src: str = "sp") -> str:
+def metrics_sql(by: str, src: str = "sp", rnd: bool = True) -> str:
     y, p = "revenue_d90", "prediction"
-    return (f"SELECT {by}, count(*) AS n, round(avg(abs({y} - {p})), 4) AS mae, "
-            f"round(sqrt(avg(({y} - {p}) * ({y} - {p}))), 4) AS rmse, "
-            f"round(1 - sum(({y} - {p}) * ({y} - {p})) / (var_pop({y}) * count(*)), 4) AS r2, "
-            f"round(avg(abs({y} - {p}) / {lo(y, 1.0)}) * 100, 4) AS mape, "
-            f"round(sum({y}), 4) AS total_actual, round(sum({p}), 4) AS total_predicted, "
-            f"round(abs(sum({p}) - sum({y})) / sum({y}) * 100, 4) AS total_error_pct FROM {src} GROUP BY {by}")
+    r = r4 if rnd else (lambda e: e)
+    return (f"SELECT {by}, count(*) AS n, {r(f'avg(abs({y} - {p}))')} AS mae, "
+            f"{r(f'sqrt(avg(({y} - {p}) * ({y} - {p})))')} AS rmse, "
+            f"{r(f'1 - sum(({y} - {p}) * ({y} - {p})) / (var_pop({y}) * count(*))')} AS r2, "
+            f"{r(f'avg(abs({y} - {p}) / {lo(y, 1.0)}) * 100')} AS mape, "
+            f"{r(f'sum({y})')} AS total_actual, {r(f'sum({p})')} AS total_predicted, "
+            f"{r(f'abs(sum({p}) - sum({y})) / sum({y}) * 100')} AS total_error_pct FROM {src} GROUP BY {by}")
 
 
 def _q_model() -> dict:
@@ -462,7 +463,7 @@ def _q_model() -> dict:
                             "SELECT raw_channel, code, count(*) AS rows FROM lv JOIN codes USING (v) GROUP BY raw_channel, code")
     q["eval_metrics"] = sql(sp, metrics_sql("split"))
     q["cv_metrics"] = sql(sp, f"pf AS ({metrics_sql('fold')})", "SELECT fold, n, rmse, r2, mae FROM pf")
-    q["cv_summary"] = sql(sp, f"pf AS ({metrics_sql('fold').replace('round(', '(')})",
+    q["cv_summary"] = sql(sp, f"pf AS ({metrics_sql('fold', rnd=False)})",
                           "SELECT round(avg(rmse), 4) AS rmse_mean, round(stddev_pop(rmse), 4) AS rmse_std, "
                           "round(avg(r2), 4) AS r2_mean, round(stddev_pop(r2), 4) AS r2_std FROM pf")
     q["export_frame"] = sql(sp, "SELECT k, split, round(prediction, 4) AS prediction, "
@@ -626,8 +627,34 @@ def _q_flagship() -> dict:
                                 "round(avg(cohort_quality_score), 4) AS avg_quality_score FROM enc GROUP BY channel")}
 
 
+def _round4(text: str) -> str:
+    """Rewrite every ``round(<expr>, 4)`` as ``round((<expr>) * 10000.0) / 10000.0``
+    (rounding of the binary product, as on the Spark side)."""
+    out, i = [], 0
+    while True:
+        j = text.find("round(", i)
+        if j < 0:
+            out.append(text[i:])
+            return "".join(out)
+        depth, k = 0, j + len("round")
+        while True:
+            ch = text[k]
+            depth += ch == "("
+            depth -= ch == ")"
+            if depth == 0:
+                break
+            k += 1
+        inner = text[j + len("round("):k]
+        if inner.rstrip().endswith(", 4"):
+            expr = _round4(inner.rstrip()[:-3])
+            out.append(text[i:j] + f"(round(({expr}) * 10000.0) / 10000.0)")
+        else:
+            out.append(text[i:j] + "round(" + _round4(inner) + ")")
+        i = k + 1
+
+
 def oracle_queries() -> dict[str, str]:
     out = _q_flagship()
     for part in (_q_quality, _q_clean, _q_features, _q_model, _q_drift):
         out.update(part())
-    return out
+    return {name: _round4(text) for name, text in out.items()}
