@@ -59,7 +59,11 @@ def flagged(spark, sf) -> DataFrame:
 
 
 def cleaned(spark, sf) -> C.Cleaned:
-    return C.clean(raw(spark, sf))
+    """Cleaned cohorts, checkpointed: features, drift and modelling read them
+    several times, and a short plan keeps each stage's generated code small."""
+    cl = C.clean(raw(spark, sf))
+    cl.frame = cut_lineage(cl.frame)
+    return cl
 
 
 def featured(spark, sf) -> FE.Featured:
@@ -372,7 +376,7 @@ def _gbt_data(spark, sf):
     fe = featured(spark, sf)
     feats = M.leakage_filter(fe.features)
     df = M.prepare_target(fe.frame, "revenue_d90")
-    df = M.assign_fold(M.assign_split(df, "k"), "k").cache()
+    df = cut_lineage(M.assign_fold(M.assign_split(df, "k"), "k"))
     return df, feats
 
 
