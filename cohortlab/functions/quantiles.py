@@ -176,8 +176,32 @@ def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     return {(r["column"], float(r["prob"])): r["value"] for r in tbl.collect()}
 
 
+def weighted_quantile_table(df: DataFrame, value: str, weight: str, prob: float,
+                            by: Sequence[str] = ()) -> DataFrame:
+    """Quantile of ``value`` repeated ``weight`` times, per group: (by..., value).
+
+    For small count tables (one row per distinct value). Same interpolation as
+    ``quantile_table``; Spark's weighted ``percentile`` rounds differently.
+    """
+    by = list(by)
+    d = df.filter(F.col(value).isNotNull() & (F.col(weight) > 0)).select(
+        *by, F.col(value).cast("double").alias("v"), F.col(weight).cast("long").alias("w"))
+    d = d.groupBy(*by, "v").agg(F.sum("w").alias("w"))
+    w = Window.partitionBy(*by).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("_end", F.sum("w").over(w) - 1).withColumn("_start", F.col("_end") - F.col("w") + 1)
+    d = d.withColumn("n", F.sum("w").over(Window.partitionBy(*by)))
+    pos = F.lit(float(prob)) * (F.col("n") - 1)
+    d = d.withColumn("_fl", F.floor(pos)).withColumn("_ce", F.ceil(pos))
+
+    def pick(rank):
+        return F.max(F.when((F.col("_start") <= F.col(rank)) & (F.col("_end") >= F.col(rank)), F.col("v")))
+
+    r = d.groupBy(*by, "n").agg(pick("_fl").alias("lo"), pick("_ce").alias("hi"))
+    frac = pos - F.floor(pos)
+    return r.select(*by, F.when(F.col("lo") == F.col("hi"), F.col("lo"))
+                    .otherwise(F.col("lo") + frac * (F.col("hi") - F.col("lo"))).alias("value"))
+
+
 def weighted_quantile(df: DataFrame, value: str, weight: str, prob: float) -> float | None:
-    """Quantile of ``value`` repeated ``weight`` times; for small count tables."""
-    row = df.agg(F.percentile(F.col(value).cast("double"), F.lit(prob),
-                              F.col(weight).cast("long")).alias("q")).first()
-    return None if row is None else row["q"]
+    row = weighted_quantile_table(df, value, weight, prob).first()
+    return None if row is None else row["value"]

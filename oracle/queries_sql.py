@@ -106,6 +106,20 @@ def sql_day(c: str) -> str:
     return f"CAST(try_strptime({c}, '%Y-%m-%d') AS DATE)"
 
 
+def sorted_list(col: str) -> str:
+    """Aggregate: the non-null values of ``col`` as an ascending list."""
+    return f"list_sort(list(CAST({col} AS DOUBLE)) FILTER (WHERE {col} IS NOT NULL))"
+
+
+def qpick(lst: str, q) -> str:
+    """Linear-interpolated quantile of a sorted list: ranks floor / ceil of
+    (n - 1) q, value lo + (hi - lo) * frac (the library's definition)."""
+    pos = f"((len({lst}) - 1) * CAST({float(q)!r} AS DOUBLE))"
+    lo = f"{lst}[CAST(floor({pos}) AS BIGINT) + 1]"
+    hi = f"{lst}[CAST(ceil({pos}) AS BIGINT) + 1]"
+    return f"(CASE WHEN len({lst}) = 0 THEN NULL ELSE {lo} + ({hi} - {lo}) * ({pos} - floor({pos})) END)"
+
+
 def hash_bits(key: str, salt: str) -> str:
     return f"CAST(('0x' || substr(md5('{salt}|' || CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT)"
 
@@ -128,15 +142,16 @@ class Chain:
 
 def filled_ctes() -> list[str]:
     ctes = [
-        "chan_med AS (SELECT channel, quantile_cont(network_cost, 0.5) AS med FROM raw "
+        f"chan_l AS (SELECT channel, {sorted_list('network_cost')} AS l FROM raw "
         "WHERE channel IS NOT NULL AND network_cost IS NOT NULL GROUP BY channel)",
+        f"chan_med AS (SELECT channel, {qpick('l', 0.5)} AS med FROM chan_l)",
     ]
     over = {c: f"raw.{c}" for c in COLS}
     over["campaign_id"] = "COALESCE(raw.campaign_id, 'unknown')"
     over["network_cost"] = "COALESCE(raw.network_cost, chan_med.med)"
     ctes.append("f1 AS (SELECT " + ", ".join(f"{over[c]} AS {c}" for c in COLS) +
                 " FROM raw LEFT JOIN chan_med ON raw.channel = chan_med.channel)")
-    ctes.append("gmed AS (SELECT quantile_cont(network_cost, 0.5) AS g FROM f1)")
+    ctes.append(f"gmed AS (SELECT {qpick('l', 0.5)} AS g FROM (SELECT {sorted_list('network_cost')} AS l FROM f1))")
     over = {c: f"COALESCE({c}, 0)" for c in NUMERIC}
     over["k"] = "COALESCE(k, 0)"
     over["network_cost"] = "COALESCE(network_cost, (SELECT g FROM gmed), 0)"
@@ -181,9 +196,10 @@ def rep_chain(src: str = "std", extra=()) -> Chain:
 
 
 def capped_ctes() -> list[str]:
-    caps = ", ".join(f"quantile_cont({c}, 0.99) AS cap_{c}" for c in CAPS)
+    lists = ", ".join(f"{sorted_list(c)} AS l_{c}" for c in CAPS)
+    caps = ", ".join(f"{qpick(f'l_{c}', 0.99)} AS cap_{c}" for c in CAPS)
     over = {c: f"CASE WHEN {c} > cap_{c} THEN cap_{c} ELSE {c} END" for c in CAPS}
-    return [f"caps AS (SELECT {caps} FROM rep)",
+    return [f"caps AS (SELECT {caps} FROM (SELECT {lists} FROM rep))",
             "capped AS (SELECT " + ", ".join(f"{over.get(c, c)} AS {c}" for c in COLS) +
             " FROM rep CROSS JOIN caps)"]
 
@@ -242,9 +258,10 @@ def enc_ctes():
     joins = " ".join(f"LEFT JOIN fq_{c} ON feat.{c} = fq_{c}.v" for c in CATS)
     ctes.append("encf AS (SELECT feat.*, " + ", ".join(f"fq_{c}.f AS {c}_frequency" for c in CATS) +
                 f" FROM feat {joins})")
-    ctes.append("thr AS (SELECT " + ", ".join(f"quantile_cont({c}_frequency, 0.8) AS t_{c}" for c in CATS) +
-                ", quantile_cont(arpi_d7, 0.95) AS q_arpi, quantile_cont(sessions_per_retained_d7, 0.95) AS q_spr"
-                " FROM encf)")
+    lists = ", ".join(f"{sorted_list(f'{c}_frequency')} AS l_{c}" for c in CATS)
+    ctes.append("thr AS (SELECT " + ", ".join(f"{qpick(f'l_{c}', 0.8)} AS t_{c}" for c in CATS) +
+                f", {qpick('l_arpi', 0.95)} AS q_arpi, {qpick('l_spr', 0.95)} AS q_spr FROM (SELECT {lists}, "
+                f"{sorted_list('arpi_d7')} AS l_arpi, {sorted_list('sessions_per_retained_d7')} AS l_spr FROM encf))")
     arpi_n = ("(CASE WHEN q_arpi > 0 THEN " + hi(lo("(arpi_d7 / q_arpi)", 0), 1) + " ELSE arpi_d7 END)")
     spr_n = ("(CASE WHEN q_spr > 0 THEN " + hi(lo("(sessions_per_retained_d7 / q_spr)", 0), 1) +
              " ELSE sessions_per_retained_d7 END)")
@@ -297,7 +314,8 @@ def _q_quality() -> dict:
     q["quality_distinct"] = sql(RAW, union_all(
         f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct FROM raw" for c in CATS))
     q["quality_numeric"] = sql(RAW, union_all(
-        f"SELECT '{c}' AS \"column\", round(avg({c}), 4) AS mean, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 4) AS median, "
+        f"SELECT '{c}' AS \"column\", round(avg({c}), 4) AS mean, "
+        f"round((SELECT {qpick('l', 0.5)} FROM (SELECT {sorted_list(c)} AS l FROM raw)), 4) AS median, "
         f"round(CAST(min({c}) AS DOUBLE), 4) AS \"min\", round(CAST(max({c}) AS DOUBLE), 4) AS \"max\", "
         f"count_if({c} < 0) AS negative_count FROM raw" for c in KEY_METRICS))
     # strict test thresholds: min_records 20000, max_duplicate_rate 0.01, max_missing_rate 0.012
@@ -486,10 +504,10 @@ def drift_ctes() -> list[str]:
     for side, src in (("bc", "dbase"), ("cc", "dcur")):
         ctes.append(f"{side} AS (" + union_all(
             f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS v FROM {src} WHERE {c} IS NOT NULL" for c in DRIFT_CAT) + ")")
-    probs = "[" + ", ".join(f"CAST({(i * 0.1 if i < 10 else 1.0)!r} AS DOUBLE)" for i in range(11)) + "]"
     for side, src in (("b", "bl"), ("c", "cl")):
-        ctes.append(f"{side}_edges AS (SELECT \"column\", list_sort(list_distinct(quantile_cont(v, {probs}))) AS edges "
-                    f"FROM {src} GROUP BY \"column\")")
+        picks = ", ".join(qpick("l", (i * 0.1 if i < 10 else 1.0)) for i in range(11))
+        ctes.append(f"{side}_edges AS (SELECT \"column\", list_sort(list_distinct([{picks}])) AS edges "
+                    f"FROM (SELECT \"column\", {sorted_list('v')} AS l FROM {src} GROUP BY \"column\"))")
         ctes.append(f"{side}_tot AS (SELECT \"column\", count(*) AS total FROM {src} GROUP BY \"column\")")
     # histograms: own edges (closed range) and current on baseline edges (outer bins open)
     for name, vals, edges, open_ in (("h_b", "bl", "b_edges", False), ("h_c_own", "cl", "c_edges", False),
@@ -520,9 +538,10 @@ def psi_cte(name: str, exp: str, act: str, key: str = "bin") -> str:
 
 
 def num_stats(src: str, quart: bool) -> str:
-    q = (", round(quantile_cont(v, 0.25), 4) AS q25, round(quantile_cont(v, 0.75), 4) AS q75" if quart else "")
-    return (f"SELECT \"column\", count(v) AS n, round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std, "
-            f"round(min(v), 4) AS \"min\", round(max(v), 4) AS \"max\"{q} FROM {src} GROUP BY \"column\"")
+    q = (f", round({qpick('l', 0.25)}, 4) AS q25, round({qpick('l', 0.75)}, 4) AS q75" if quart else "")
+    return (f"SELECT \"column\", n, mean, std, \"min\", \"max\"{q} FROM (SELECT \"column\", count(v) AS n, "
+            f"round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std, round(min(v), 4) AS \"min\", "
+            f"round(max(v), 4) AS \"max\", {sorted_list('v')} AS l FROM {src} GROUP BY \"column\")")
 
 
 def ks_p(d: str, n1: str, n2: str) -> str:
