@@ -20,6 +20,8 @@ from cohortlab.operators.joins import join_small
 from cohortlab.operators.quality import numeric_columns
 
 FIX_PREFIX = "_fix__"
+# Group-median tables up to this size are applied as literal maps.
+MAP_LOOKUP_MAX = 10_000
 
 
 # -- C: missing values --------------------------------------------------------
@@ -53,9 +55,16 @@ def fill_missing(df: DataFrame, quantile_method: str = "exact") -> tuple[DataFra
     if nulls.get("network_cost"):
         if "channel" in cols:
             med = channel_medians(out, quantile_method)
-            out = join_small(out, med, "channel", "left")
-            out = out.withColumn("network_cost", F.coalesce("network_cost", "_channel_median"))
-            out = out.select(*cols)
+            rows = med.limit(MAP_LOOKUP_MAX + 1).collect()
+            if len(rows) <= MAP_LOOKUP_MAX:
+                # small dictionary: a literal map keeps the plan a projection over the scan
+                lut = F.create_map(*[x for r in rows for x in (F.lit(r["channel"]), F.lit(r["_channel_median"]))])
+                fill = F.try_element_at(lut, F.col("channel")) if rows else F.lit(None).cast("double")
+                out = out.withColumn("network_cost", F.coalesce("network_cost", fill))
+            else:
+                out = join_small(out, med, "channel", "left")
+                out = out.withColumn("network_cost", F.coalesce("network_cost", "_channel_median"))
+                out = out.select(*cols)
         # global median of the column after the group fill (filled values count)
         glob = quantile_values(out, ["network_cost"], [0.5], method=quantile_method)
         if (q := glob.get(("network_cost", 0.5))) is not None:
