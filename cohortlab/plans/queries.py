@@ -390,7 +390,7 @@ def gbt_predict(spark, sf):
 
 def gbt_cv(spark, sf):
     df, feats = _gbt_data(spark, sf)
-    per_fold, summ = M.cross_validate(df, feats, "revenue_d90", SMALL_GBT)
+    per_fold, summ = M.cross_validate(df, feats, "revenue_d90", SMALL_GBT, parallelism=2)
     return summ
 
 
