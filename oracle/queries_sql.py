@@ -525,7 +525,8 @@ def drift_ctes() -> list[str]:
     for side, src in (("cs_b", "bc"), ("cs_c", "cc")):
         ctes.append(f"{side} AS (SELECT \"column\", v AS value, count(*) AS count, "
                     f"count(*) / sum(count(*)) OVER (PARTITION BY \"column\") AS share, "
-                    f"CAST(row_number() OVER (PARTITION BY \"column\" ORDER BY count(*) DESC, v ASC) AS BIGINT) AS rank "
+                    f"CASE WHEN row_number() OVER (PARTITION BY \"column\" ORDER BY count(*) DESC, v ASC) <= 10 THEN "
+                    f"CAST(row_number() OVER (PARTITION BY \"column\" ORDER BY count(*) DESC, v ASC) AS BIGINT) END AS rank "
                     f"FROM {src} GROUP BY \"column\", v)")
     return ctes
 
