@@ -1,7 +1,7 @@
 """Benchmark: wall time per stage on the order-derived cohort table.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEATS (timed runs per stage, default 3; the median is reported after
+BENCH_REPEATS (timed runs per stage, default 2; the median is reported after
 one warm-up run), BENCH_TREES (GBT trees, default 20).
 
 Setup (not timed) derives the cohort table from the given tables and writes
@@ -34,7 +34,7 @@ from cohortlab.sources.parquet import load_cohorts  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
+REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
 TREES = int(os.environ.get("BENCH_TREES", "20"))
 SPLIT_DAY = "1998-04-17"
 DRIFT_COLS = ["installs", "network_cost", "revenue_d7", "revenue_d30", "sessions_d1",
