@@ -100,3 +100,14 @@ def test_hash_bits_is_deterministic_and_in_range(spark):
     b = df.repartition(7).select("id", X.hash_bits("id", "42").alias("h")).orderBy("id").collect()
     assert [r.h for r in a] == [r.h for r in b]
     assert all(0 <= r.h < 2 ** 32 for r in a)
+
+
+def test_approx_quantiles_within_rank_error(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(0, 1, 20000)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    q = quantile_values(df, ["x"], [0.1, 0.5, 0.9], method="approx", accuracy=1000)
+    xs = np.sort(x)
+    for p in (0.1, 0.5, 0.9):
+        rank = np.searchsorted(xs, q[("x", p)]) / len(xs)
+        assert abs(rank - p) <= 2.0 / 1000
