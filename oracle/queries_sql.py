@@ -673,8 +673,28 @@ def _round4(text: str) -> str:
         i = k + 1
 
 
+def _bigint_counts(text: str) -> str:
+    """``count_if`` returns HUGEINT in DuckDB; cast each to BIGINT like Spark's."""
+    out, i = [], 0
+    while True:
+        j = text.find("count_if(", i)
+        if j < 0:
+            out.append(text[i:])
+            return "".join(out)
+        depth, k = 0, j + len("count_if")
+        while True:
+            depth += text[k] == "("
+            depth -= text[k] == ")"
+            if depth == 0:
+                break
+            k += 1
+        inner = _bigint_counts(text[j + len("count_if("):k])
+        out.append(text[i:j] + f"CAST(count_if({inner}) AS BIGINT)")
+        i = k + 1
+
+
 def oracle_queries() -> dict[str, str]:
     out = _q_flagship()
     for part in (_q_quality, _q_clean, _q_features, _q_model, _q_drift):
         out.update(part())
-    return {name: _round4(text) for name, text in out.items()}
+    return {name: _bigint_counts(_round4(text)) for name, text in out.items()}
