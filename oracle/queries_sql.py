@@ -198,10 +198,10 @@ def rep_chain(src: str = "std", extra=()) -> Chain:
 def capped_ctes() -> list[str]:
     lists = ", ".join(f"{sorted_list(c)} AS l_{c}" for c in CAPS)
     caps = ", ".join(f"{qpick(f'l_{c}', 0.99)} AS cap_{c}" for c in CAPS)
-    over = {c: f"CASE WHEN {c} > cap_{c} THEN cap_{c} ELSE {c} END" for c in CAPS}
+    over = {c: f"CASE WHEN {c} > (SELECT cap_{c} FROM caps) THEN (SELECT cap_{c} FROM caps) ELSE {c} END"
+            for c in CAPS}
     return [f"caps AS (SELECT {caps} FROM (SELECT {lists} FROM rep))",
-            "capped AS (SELECT " + ", ".join(f"{over.get(c, c)} AS {c}" for c in COLS) +
-            " FROM rep CROSS JOIN caps)"]
+            "capped AS (SELECT " + ", ".join(f"{over.get(c, c)} AS {c}" for c in COLS) + " FROM rep)"]
 
 
 def clean_ctes() -> list[str]:
@@ -262,11 +262,12 @@ def enc_ctes():
     ctes.append("thr AS (SELECT " + ", ".join(f"{qpick(f'l_{c}', 0.8)} AS t_{c}" for c in CATS) +
                 f", {qpick('l_arpi', 0.95)} AS q_arpi, {qpick('l_spr', 0.95)} AS q_spr FROM (SELECT {lists}, "
                 f"{sorted_list('arpi_d7')} AS l_arpi, {sorted_list('sessions_per_retained_d7')} AS l_spr FROM encf))")
-    arpi_n = ("(CASE WHEN q_arpi > 0 THEN " + hi(lo("(arpi_d7 / q_arpi)", 0), 1) + " ELSE arpi_d7 END)")
-    spr_n = ("(CASE WHEN q_spr > 0 THEN " + hi(lo("(sessions_per_retained_d7 / q_spr)", 0), 1) +
+    qa, qs = "(SELECT q_arpi FROM thr)", "(SELECT q_spr FROM thr)"
+    arpi_n = (f"(CASE WHEN {qa} > 0 THEN " + hi(lo(f"(arpi_d7 / {qa})", 0), 1) + " ELSE arpi_d7 END)")
+    spr_n = (f"(CASE WHEN {qs} > 0 THEN " + hi(lo(f"(sessions_per_retained_d7 / {qs})", 0), 1) +
              " ELSE sessions_per_retained_d7 END)")
     roas_n = hi(lo("(roas_d7 / 2.0)", 0), 1)
-    new = {f"{c}_is_common": flag(f"{c}_frequency > t_{c}") for c in CATS}
+    new = {f"{c}_is_common": flag(f"{c}_frequency > (SELECT t_{c} FROM thr)") for c in CATS}
     new["is_ios"] = flag("os_name = 'iOS'")
     new["is_android"] = flag("os_name = 'Android'")
     new["is_tier1_country"] = flag("country_code IN (" + ", ".join(f"'{t}'" for t in TIER1) + ")")
@@ -275,7 +276,7 @@ def enc_ctes():
     new["cohort_quality_score"] = (f"(retention_rate_d30 * {lit(0.4)} + payer_conversion_d30 * {lit(0.3)} + "
                                    f"{spr_n} * {lit(0.3)})")
     ctes.append("enc0 AS (SELECT encf.*, " + ", ".join(f"{e} AS {n}" for n, e in new.items()) +
-                " FROM encf CROSS JOIN thr)")
+                " FROM encf)")
     feats = sorted(set(cols[len(COLS):]) | {f"{c}_frequency" for c in CATS} | set(new) |
                    {"installs", "network_cost"})
     allc = cols + [f"{c}_frequency" for c in CATS] + list(new)
