@@ -192,3 +192,10 @@ def test_duplicate_count_methods_agree(spark):
     assert Q.duplicate_count(cohort_frame(spark, [cohort_row(installs=i) for i in range(50)])) == 0
     signed = cohort_frame(spark, [cohort_row(network_cost=0.0), cohort_row(network_cost=-0.0)])
     assert Q.duplicate_count(signed) == Q.duplicate_count(signed, method="full") == 1
+
+
+def test_conform_casts_declared_types(spark):
+    df = cohort_frame(spark, [cohort_row()]).withColumn("installs", F.lit("12x")).withColumn(
+        "network_cost", F.lit("3.5"))
+    out = P.conform(df).first()
+    assert out["installs"] is None and out["network_cost"] == 3.5
