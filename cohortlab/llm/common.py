@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,5 +113,18 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def keep_rows(docs: DataFrame, kept: DataFrame, once: bool = False, how: str = "left_semi") -> DataFrame:
+    """Rows of ``docs``, all columns, whose (doc_id, hash of the text) is in
+    ``kept(doc_id, text_hash)`` (not in it for ``left_anti``); with ``once``, one of
+    the rows that repeat both."""
+    ids = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")).distinct()
+    marked = docs.withColumn("_row_hash", F.xxhash64(text_or_empty("text")))
+    out = marked.join(ids, marked["doc_id"].eqNullSafe(ids["_kept_id"]) & (marked["_row_hash"] == ids["_kept_hash"]), how)
+    if once:
+        nth = Window.partitionBy("_row_hash", "doc_id").orderBy("_row_hash")
+        out = out.withColumn("_row_nth", F.row_number().over(nth)).filter("_row_nth = 1").drop("_row_nth")
+    return out.drop("_row_hash")
+
+
 def empty_frame(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)

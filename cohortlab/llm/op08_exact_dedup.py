@@ -49,8 +49,8 @@ def directory(keys: DataFrame, capacity: int, max_depth: int, key_bits: int = 64
     bucket = (level.withColumn("up", F.shiftright("prefix", 1)).join(parent, ["depth", "up"], "left")
               .filter((F.coalesce("split", F.lit(False)) | (F.col("depth") == 0))
                       & ((F.col("n") <= capacity) | (F.col("depth") == bits)))
-              .select("depth", "prefix"))
-    return at.join(bucket, ["depth", "prefix"]).select(
+              .select("depth", "prefix"))  # 2^bits rows at most
+    return at.join(F.broadcast(bucket), ["depth", "prefix"]).select(
         "slot", "depth", F.expr(f"shiftleft(prefix, {bits} - depth)").alias("bucket"))
 
 
