@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortlab.llm import (
     op03_sharding,
     op04_warc,
+    op05_quality,
+    op07_simhash_dedup,
     op08_exact_dedup,
+    op09_sentencepiece,
     op10_url_filter,
 )
 
@@ -20,7 +23,10 @@ def registry() -> dict[str, Query]:
     return {
         "op3_sharding": op03_sharding.query,
         "op4_warc": op04_warc.query,
+        "op5_quality": op05_quality.query,
+        "op7_simhash_dedup": op07_simhash_dedup.query,
         "op8_exact_dedup": op08_exact_dedup.query,
+        "op9_sentencepiece": op09_sentencepiece.query,
         "op10_url_filter": op10_url_filter.query,
     }
 
