@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from cohortlab.llm import (
     op03_sharding,
     op04_warc,
     op05_quality,
+    op06_decontaminate,
     op07_simhash_dedup,
     op08_exact_dedup,
     op09_sentencepiece,
@@ -24,10 +26,12 @@ def registry() -> dict[str, Query]:
         "op3_sharding": op03_sharding.query,
         "op4_warc": op04_warc.query,
         "op5_quality": op05_quality.query,
+        "op6_decontaminate": op06_decontaminate.query,
         "op7_simhash_dedup": op07_simhash_dedup.query,
         "op8_exact_dedup": op08_exact_dedup.query,
         "op9_sentencepiece": op09_sentencepiece.query,
         "op10_url_filter": op10_url_filter.query,
+        "pipeline": corpus_pipeline.run,
     }
 
 
