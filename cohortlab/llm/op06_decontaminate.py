@@ -9,8 +9,8 @@ shingles, cut into ``radius + 1`` blocks: fingerprints within the radius have at
 equal block, so joining on (item, block number, block) loses none of them. Candidates
 are verified by the weighted Jaccard similarity of the shingle multisets, 0.8 or more.
 
-``RADIUS`` is the largest distance that windows of that similarity were seen to have, with
-room: a short item that differs in a tenth of its shingles reaches about 20 bits.
+The blocks lose no pair within ``RADIUS``; similarity itself bounds no distance. Unlike
+texts are about 32 bits apart, and a test holds items with an edit to less than ``RADIUS``.
 
 Words are lower-cased runs outside ASCII white space. A text of fewer than five words is
 one shingle. Documents that are shorter than an item match it if the whole document does.
