@@ -186,9 +186,10 @@ def test_kneser_ney_matches_recursion(spark):
     new = ["the cat sat on a log", "zzz the dog", "", "the the mat qqq qqq", "cat"]
     weights, unknown = quality.train(spark.createDataFrame([("en", t) for t in train], "lang string, text string"))
     docs = spark.createDataFrame([(i, "en", t) for i, t in enumerate(new)], "rid long, lang string, text string")
-    got = {r.rid: r.perplexity for r in quality.perplexity(docs, weights, unknown).collect()}
-    for i, t in enumerate(new):
-        assert got[i] == pytest.approx(reference_perplexity(train, t), rel=1e-9)
+    for send_bytes in (0, quality.SEND_BYTES):
+        got = {r.rid: r.perplexity for r in quality.perplexity(docs, weights, unknown, send_bytes=send_bytes).collect()}
+        for i, t in enumerate(new):
+            assert got[i] == pytest.approx(reference_perplexity(train, t), rel=1e-9)
 
 
 def test_quality_odd_rows(spark, odd):
