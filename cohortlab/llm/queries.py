@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from cohortlab.llm import (
     op01_lm_scoring,
+    op02_suffix_dedup,
     op03_sharding,
     op04_warc,
     op05_quality,
@@ -25,6 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def registry() -> dict[str, Query]:
     return {
         "op1_lm_scoring": op01_lm_scoring.query,
+        "op2_suffix_dedup": op02_suffix_dedup.query,
         "op3_sharding": op03_sharding.query,
         "op4_warc": op04_warc.query,
         "op5_quality": op05_quality.query,
