@@ -8,20 +8,21 @@ of whole grams can be sorted apart from each other without losing a match.
 A task first settles the pieces that repeat inside a chunk of its own rows: all but the
 earliest are covered whole, and only the earliest is shuffled. Thus a passage that a
 third of all rows hold leaves a task as a few pieces. Beyond the shuffle, copies of a
-piece are settled in the same way. Of the others only those go on that share with a
-different piece of their gram the gram and half a window to its left, or to its right:
-a window in common implies one of both.
+piece are settled in the same way. Of the others only those go on that share a block
+around the gram with a different piece: for each of ``SIDES`` ranges of the place that a
+gram may have in a window, the bytes that all such windows hold. A window in common
+implies a common block.
 
 These pieces, joined with separators, are the text of a shard. Its suffixes are sorted
 by induction: substrings between leftmost S suffixes are sorted and named, the string of
 names is sorted by recursion, L suffixes are induced from the S* suffixes and S suffixes
-from those. Both phases take their next suffix from a priority queue of tuples (first
-character, order of the source, position, common prefix). A tuple's common prefix is one
+from those. Both phases take their next suffixes from a priority queue of tuples (first
+character, order of the source, position, common prefix), in batches that end before the
+first suffix that a push of the same batch might precede. A tuple's common prefix is one
 plus the least one between its source and the source before it with the same character,
 so it needs no look at the text. A queue of more than ``QUEUE_ITEMS`` tuples writes
-sorted runs to the shared folder. A shard holds its text in memory at two bytes a
-character (four for names) and the order of its suffixes at nine; the tuples, which
-are many times that, are what the queues keep on disk.
+sorted runs to the shared folder. A shard's text and the order of its L suffixes are held
+in memory as arrays; only the queues and the sort of the substrings go to disk.
 Neighbours in suffix order with a common prefix of at least ``LENGTH`` are one class:
 its earliest window stays, the bytes of all others are removed.
 
@@ -37,7 +38,6 @@ import heapq
 import pickle
 import uuid
 from array import array
-from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -53,9 +53,10 @@ LENGTH = 100
 GRAM = 16
 CHUNK_BYTES = 32 << 20
 SHARD_BYTES = 4 << 20
-QUEUE_ITEMS = 1 << 18
+QUEUE_ITEMS = 1 << 20
 RUN_BLOCK = 4096
 PIECE = 1 << 19
+SIDES = 4
 
 
 class Scratch:
@@ -88,79 +89,176 @@ class Scratch:
 
 
 class Queue:
-    """Priority queue of tuples (character 32 bits, order 40, position 48, common prefix 8)
-    packed into one integer. Beyond ``limit`` tuples the larger half goes to a sorted run."""
+    """Priority queue of tuples, taken in batches: keys (character 28 bits, order of the
+    source 36), values (position 56 bits, common prefix 8). Pushes are sorted runs; runs of
+    like size are merged; with more than ``limit`` tuples in memory they go to one run on
+    disk, of which a block is loaded at a time."""
 
     def __init__(self, scratch: Scratch, limit: int):
-        self.scratch, self.limit, self.heap, self.runs = scratch, limit, [], []
-
-    def push(self, char: int, order: int, pos: int, common: int) -> None:
-        heapq.heappush(self.heap, char << 96 | order << 56 | pos << 8 | common)
-        if len(self.heap) > self.limit:
-            self.heap.sort()
-            keep = self.limit // 2
-            rest = self.heap[keep:]
-            del self.heap[keep:]
-            blocks = (b"".join([x.to_bytes(16, "big") for x in rest[k:k + RUN_BLOCK]]) for k in range(0, len(rest), RUN_BLOCK))
-            items = self.items(self.scratch.write(blocks))
-            heapq.heappush(self.runs, (next(items), len(self.runs), uuid.uuid4().hex, items))
-
-    def items(self, path: str) -> Iterator[int]:
-        for block in self.scratch.read(path, 16 * RUN_BLOCK):
-            for k in range(0, len(block), 16):
-                yield int.from_bytes(block[k:k + 16], "big")
-
-    def first(self) -> int:
-        """The character of the next tuple, -1 if there is none."""
-        if self.runs and (not self.heap or self.runs[0][0] < self.heap[0]):
-            return self.runs[0][0] >> 96
-        return self.heap[0] >> 96 if self.heap else -1
-
-    def pop(self) -> tuple[int, int]:
-        """Position and common prefix of the next tuple."""
-        if self.runs and (not self.heap or self.runs[0][0] < self.heap[0]):
-            item, k, name, items = self.runs[0]
-            after = next(items, None)
-            if after is None:
-                heapq.heappop(self.runs)
+        self.scratch, self.limit = scratch, limit
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []  # in memory, the largest first
+        self.stored: list[list] = []  # [keys, values of the loaded block, further blocks]
+
+    def push(self, keys: np.ndarray, values: np.ndarray) -> None:
+        while self.runs and len(self.runs[-1][0]) <= 2 * len(keys):
+            old = self.runs.pop()
+            keys, values = np.concatenate([old[0], keys]), np.concatenate([old[1], values])
+            by = np.argsort(keys, kind="stable")
+            keys, values = keys[by], values[by]
+        self.runs.append((keys, values))
+        if sum(len(k) for k, _ in self.runs) > self.limit:
+            keys, values = (np.concatenate(x) for x in zip(*self.runs, strict=True))
+            by = np.argsort(keys, kind="stable")
+            rows = np.stack([keys[by], values[by]], 1)
+            path = self.scratch.write(rows[k:k + RUN_BLOCK].tobytes() for k in range(0, len(rows), RUN_BLOCK))
+            self.runs = []
+            self.load([None, None, self.scratch.read(path, 16 * RUN_BLOCK)])
+
+    def load(self, run: list) -> None:
+        block = next(run[2], None)
+        if block is not None:
+            rows = np.frombuffer(block, np.uint64).reshape(-1, 2)
+            self.stored.append([rows[:, 0], rows[:, 1], run[2]])
+
+    def head(self, count: int) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Up to ``count`` least tuples, and if there may be others."""
+        parts, bound, more = [], None, False
+        for k, v, *further in [*self.runs, *self.stored]:
+            if further or len(k) > count:
+                last = k[min(count, len(k)) - 1]
+                bound, more = last if bound is None else min(bound, last), True
+            parts.append((k[:count], v[:count]))
+        if not parts:
+            return np.empty(0, np.uint64), np.empty(0, np.uint64), False
+        keys, values = (np.concatenate(x) for x in zip(*parts, strict=True))
+        by = np.argsort(keys, kind="stable")
+        if bound is not None:
+            by = by[:np.searchsorted(keys[by], bound, "right")]
+        return keys[by[:count]], values[by[:count]], more or len(by) > count
+
+    def drop(self, key: np.uint64) -> None:
+        """Remove the tuples up to ``key``."""
+        left = []
+        for k, v in self.runs:
+            at = int(np.searchsorted(k, key, "right"))
+            if at < len(k):
+                left.append((k[at:], v[at:]))
+        self.runs = sorted(left, key=lambda r: -len(r[0]))
+        stored, self.stored = self.stored, []
+        for run in stored:
+            at = int(np.searchsorted(run[0], key, "right"))
+            if at < len(run[0]):
+                self.stored.append([run[0][at:], run[1][at:], run[2]])
             else:
-                heapq.heapreplace(self.runs, (after, k, name, items))
-        else:
-            item = heapq.heappop(self.heap)
-        return item >> 8 & (1 << 48) - 1, item & 255
+                self.load(run)
 
 
 class Sources:
-    """Least common prefix between the last source of a character and the present one.
-    The stack of minima holds at most as many values as a common prefix has."""
-
-    def __init__(self, cap: int):
-        self.cap, self.at, self.least, self.last = cap, [], [], {}
-
-    def scan(self, order: int, common: int) -> None:
-        while self.least and self.least[-1] >= common:
-            self.least.pop()
-            self.at.pop()
-        self.least.append(common)
-        self.at.append(order)
-
-    def common(self, char: int, order: int) -> int:
-        before = self.last.get(char)
-        self.last[char] = order
-        if before is None:
-            return 0
-        return min(self.cap, 1 + self.least[bisect_right(self.at, before)])
-
-
-def equal_run(text: array, a: int, b: int, cap: int) -> int:
+    """Least common prefix between the last source of a character and the present one,
+    for sources that come in batches. The stack of minima holds at most as many values
+    as a common prefix has."""
+
+    def __init__(self, cap: int, characters: int):
+        self.cap, self.last = cap, np.full(characters, -1, np.int64)
+        self.at, self.least = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def batch(self, first: int, common: np.ndarray, index: np.ndarray, char: np.ndarray, by: np.ndarray) -> np.ndarray:
+        """``common[k]`` is the prefix that source ``first + k`` shares with the one before;
+        sources ``index`` push ``char``, which ``by`` sorts stably. The prefixes of the pushes."""
+        n, out = len(common), np.zeros(len(index), np.int64)
+        if len(index):
+            table = [common]
+            while 2 * (step := 1 << len(table) - 1) <= n:
+                low = table[-1].copy()
+                low[:n - step] = np.minimum(low[:n - step], table[-1][step:])
+                table.append(low)
+            table = np.stack(table)
+            here, order = char[by], index[by]
+            same = np.append(False, here[1:] == here[:-1])
+            before = np.where(same, np.append(0, order[:-1]), -1)
+            level = np.frexp(order - before)[1] - 1
+            # without a source in the batch the minimum starts with the batch ...
+            value = np.minimum(table[level, before + 1], table[level, order - (1 << level) + 1])
+            # ... and goes on with the stack
+            last = np.where(same, first, self.last[here])
+            if len(self.at):
+                k = np.searchsorted(self.at, last, "right")
+                value = np.minimum(value, np.append(self.least, self.cap)[k])
+            value = np.minimum(value + 1, self.cap)
+            value[~same & (last < 0)] = 0
+            out[by] = value
+            end = np.append(~same[1:], True)
+            self.last[here[end]] = first + order[end]
+        low = np.minimum.accumulate(common[::-1])[::-1]
+        stays = np.flatnonzero(common < np.append(low[1:], self.cap + 1))
+        old = self.least < low[0]
+        self.at = np.append(self.at[old], first + stays)
+        self.least = np.append(self.least[old], common[stays])
+        return out
+
+
+def equal_run(codes: np.ndarray, a: int, b: int, cap: int) -> int:
     """Common prefix of an L and an S suffix with the same first character: the shorter
     of their runs of it."""
-    char, n = text[a], 0
-    while n < cap and text[a + n] == char and text[b + n] == char:
+    char, n = codes[a], 0
+    while n < cap and codes[a + n] == char and codes[b + n] == char:
         n += 1
     return n
 
 
+def induced(codes: np.ndarray, stream: np.ndarray, shared: np.ndarray, cap: int, scratch: Scratch,
+            limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """One phase of the induction over ``codes`` (turned round for the S phase). Suffixes of
+    ``stream`` (in order, ``shared`` their common prefixes) and of the queue are scanned, in
+    a bucket those of the queue first, and push the suffix to their left. A batch ends
+    before the first suffix that a push of the batch might precede. Gives position, common
+    prefix with the suffix before, and if it came from the queue."""
+    queue, sources = Queue(scratch, limit), Sources(cap, int(codes.max()) + 1)
+    taken, first, before, was_pushed, size = 0, 0, -1, False, 256
+    while True:
+        key, value, more = queue.head(size)
+        q_char = (key >> np.uint64(36)).astype(np.int64)
+        s_pos = stream[taken:taken + size]
+        s_char = codes[s_pos]
+        if taken + size < len(stream):
+            q_stays = int(np.searchsorted(q_char, s_char[-1], "right"))
+        else:
+            q_stays = len(key)
+        s_stays = int(np.searchsorted(s_char, q_char[-1], "left")) if more else len(s_pos)
+        if not q_stays and not s_stays:
+            if not len(key) and not len(s_pos):
+                return
+            raise RuntimeError("a batch is never empty")
+        pos = np.concatenate([(value[:q_stays] >> np.uint64(8)).astype(np.int64), s_pos[:s_stays]])
+        common = np.concatenate([(value[:q_stays] & np.uint64(255)).astype(np.int64), shared[taken:taken + s_stays]])
+        char = np.concatenate([q_char[:q_stays], s_char[:s_stays]])
+        pushed = np.arange(len(pos)) < q_stays
+        by = np.argsort(2 * char + ~pushed, kind="stable")
+        pos, common, char, pushed = pos[by], common[by], char[by], pushed[by]
+        left = np.where(pos > 0, codes[pos - 1], -1)
+        pushes = (left > char) | ((left == char) & pushed)
+        least = np.minimum.accumulate(np.where(pushes, left, 1 << 40))
+        unsafe = np.flatnonzero(char[1:] + ~pushed[1:] > least[:-1])
+        n = int(unsafe[0]) + 1 if len(unsafe) else len(pos)
+        size = min(1 << 16, 2 * size) if n == len(pos) else max(64, 2 * n)
+        pos, common, pushed, char = pos[:n], common[:n].copy(), pushed[:n], char[:n]
+        for k in np.flatnonzero(~pushed & np.append(was_pushed, pushed[:-1])).tolist():
+            prior = int(pos[k - 1]) if k else before
+            common[k] = equal_run(codes, prior, int(pos[k]), cap) if codes[prior] == char[k] else 0
+        if pushed.any():
+            queue.drop(key[int(pushed.sum()) - 1])
+        index = np.flatnonzero(pushes[:n])
+        to = left[index]
+        by = np.argsort(to, kind="stable")
+        prefix = sources.batch(first, common, index, to, by)
+        if len(index):
+            keys = to.astype(np.uint64) << np.uint64(36) | (first + index).astype(np.uint64)
+            values = (pos[index] - 1).astype(np.uint64) << np.uint64(8) | prefix.astype(np.uint64)
+            queue.push(keys[by], values[by])
+        yield pos, common, pushed
+        taken, first, before, was_pushed = taken + int((~pushed).sum()), first + n, int(pos[-1]), bool(pushed[-1])
+
+
 def in_order(keys: Iterator[tuple[bytes, int]], scratch: Scratch, limit: int) -> Iterator[tuple[bytes, int]]:
     """External sort: sorted runs of ``limit`` keys on disk, merged."""
     runs, held = [], []
@@ -188,9 +286,8 @@ def in_order(keys: Iterator[tuple[bytes, int]], scratch: Scratch, limit: int) ->
     yield from heapq.merge(*runs, held) if runs else held
 
 
-def star_order(text: array, cap: int, scratch: Scratch, limit: int) -> tuple[array, bytearray]:
+def star_order(codes: np.ndarray, cap: int, scratch: Scratch, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Leftmost S suffixes in order and each one's common prefix with the one before."""
-    codes = np.asarray(text, np.int64)
     n = len(codes)
     smaller = np.append(np.sign(codes[1:] - codes[:-1]), -1)  # 1: next character is larger
     decided = np.where(smaller != 0, np.arange(n), n)
@@ -198,92 +295,54 @@ def star_order(text: array, cap: int, scratch: Scratch, limit: int) -> tuple[arr
     is_s = smaller[np.minimum(upto, n - 1)] > 0
     is_s[n - 1] = True
     stars = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
-    begin, end = stars.tolist(), [*(stars[1:] + 1).tolist(), n]
-    raw, m = codes.astype(">u4").tobytes(), len(begin)
+    raw, m = codes.astype(">u4").tobytes(), len(stars)
     # an S* substring that is the beginning of another one is the larger of both
-    keys = ((raw[4 * a:4 * b] + b"\xff\xff\xff\xff", j) for j, (a, b) in enumerate(zip(begin, end, strict=True)))
-    names, order, name, before = array("I", bytes(4 * m)), array("I"), -1, None
+    keys = ((raw[4 * a:4 * b] + b"\xff\xff\xff\xff", j)
+            for j, (a, b) in enumerate(zip(stars.tolist(), [*(stars[1:] + 1).tolist(), n], strict=True)))
+    named, order, name, before = array("I"), array("I"), -1, None
     for key, j in in_order(keys, scratch, limit):
         if key != before:
             name, before = name + 1, key
-        names[j] = name
+        named.append(name)
         order.append(j)
-    shared = bytes(m)
+    order, shared = np.asarray(order, np.int64), np.zeros(m, np.int64)
     if name + 1 < m:
-        order, up = array("I"), bytearray()
-        for j, common in suffixes(names, cap, scratch, limit):
-            order.append(j)
-            up.append(common)
-        order.reverse()
-        up.reverse()  # now with the larger neighbour
-        shared = bytes([0]) + bytes(up[:-1])
-    out, commons = array("Q"), bytearray()
-    for k, j in enumerate(order):
-        common = 0
-        if k:
-            i, names_shared = order[k - 1], shared[k]
-            a, b = begin[i], begin[j]
-            common = min(cap, begin[i + names_shared] - a)
-            while common < cap and text[a + common] == text[b + common]:
-                common += 1
-        out.append(begin[j])
-        commons.append(common)
-    return out, commons
+        names = np.empty(m, np.int64)
+        names[order] = np.asarray(named, np.int64)
+        parts = list(suffix_batches(names, cap, scratch, limit))
+        order = np.concatenate([p for p, _ in parts])[::-1]
+        shared[1:] = np.concatenate([c for _, c in parts])[::-1][:-1]
+    a, b = stars[np.append(order[0], order[:-1])], stars[order]
+    common = np.minimum(cap, stars[np.append(order[0], order[:-1]) + shared] - a)
+    open_ = np.arange(1, m)
+    while len(open_):
+        open_ = open_[common[open_] < cap]
+        open_ = open_[codes[a[open_] + common[open_]] == codes[b[open_] + common[open_]]]
+        common[open_] += 1
+    common[0] = 0
+    return b, common
+
+
+def suffix_batches(codes: np.ndarray, cap: int, scratch: Scratch, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All suffixes of ``codes``, which ends with a 0 that it has nowhere else, from the
+    largest to the smallest: position and common prefix (at most ``cap``) with the
+    suffix given before."""
+    n = len(codes)
+    if n > 1:
+        larger, shared = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for pos, common, pushed in induced(codes, *star_order(codes, cap, scratch, limit), cap, scratch, limit):
+            larger.append(pos[pushed])
+            shared.append(common[pushed])
+        larger, shared = np.concatenate(larger)[::-1], np.concatenate(shared)[::-1]
+        for pos, common, _ in induced(codes.max() - codes, larger, np.append(0, shared[:-1]), cap, scratch, limit):
+            yield pos, common
+    yield np.array([n - 1]), np.array([0])
 
 
 def suffixes(text: array, cap: int, scratch: Scratch, limit: int = QUEUE_ITEMS) -> Iterator[tuple[int, int]]:
-    """All suffixes of ``text``, which ends with a 0 that it has nowhere else, from the
-    largest to the smallest: position and common prefix (at most ``cap``) with the
-    suffix given before."""
-    n = len(text)
-    if n == 1:
-        yield 0, 0
-        return
-    stars, star_common = star_order(text, cap, scratch, limit)
-    larger, larger_common = array("Q"), bytearray()
-    queue, sources = Queue(scratch, limit), Sources(cap)
-    taken, order, before, was_l = 0, 0, -1, False
-    while True:
-        char = queue.first()
-        if taken < len(stars) and (char < 0 or text[stars[taken]] < char):
-            pos, common = stars[taken], star_common[taken]
-            if was_l:
-                common = equal_run(text, before, pos, cap) if text[before] == text[pos] else 0
-            taken, was_l = taken + 1, False
-        elif char >= 0:
-            pos, common = queue.pop()
-            larger.append(pos)
-            larger_common.append(common)
-            was_l = True
-        else:
-            break
-        sources.scan(order, common)
-        if pos and (left := text[pos - 1]) >= text[pos]:
-            queue.push(left, order, pos - 1, sources.common(left, order))
-        before, order = pos, order + 1
-
-    queue, sources = Queue(scratch, limit), Sources(cap)
-    k, order, before, was_l, top = len(larger) - 1, 0, -1, True, (1 << 32) - 1
-    while True:
-        char = queue.first()
-        if char >= 0 and (k < 0 or top - char >= text[larger[k]]):
-            pos, common = queue.pop()
-            was_l = False
-        elif k >= 0:
-            pos = larger[k]
-            if before >= 0 and not was_l:
-                common = equal_run(text, pos, before, cap) if text[before] == text[pos] else 0
-            else:
-                common = larger_common[k + 1] if before >= 0 else 0
-            k, was_l = k - 1, True
-        else:
-            break
-        yield pos, common
-        sources.scan(order, common)
-        if pos and ((left := text[pos - 1]) < text[pos] or (left == text[pos] and not was_l)):
-            queue.push(top - left, order, pos - 1, sources.common(left, order))
-        before, order = pos, order + 1
-    yield n - 1, 0
+    """``suffix_batches`` one by one."""
+    for pos, common in suffix_batches(np.asarray(text, np.int64), cap, scratch, limit):
+        yield from zip(pos.tolist(), common.tolist(), strict=True)
 
 
 def pieces(data: bytes, length: int, gram: int) -> Iterator[tuple[int, int, int, int]]:
@@ -376,44 +435,56 @@ def cut_pieces(length: int, gram: int, chunk_bytes: int):
 def removed_of_shard(shard: list[tuple], length: int, scratch: Scratch, limit: int) -> Iterator[tuple[int, int, int]]:
     """``rid, begin, end`` of repeated windows among pieces (doc rank, rid, begin, body):
     windows of a class are neighbours in suffix order, the earliest of them stays."""
-    owner = np.repeat(np.arange(len(shard)), [len(p[3]) + 1 for p in shard])
-    begin = np.cumsum([0] + [len(p[3]) + 1 for p in shard]).tolist()
-    codes = np.empty(begin[-1] + 1, np.uint16)
-    for p, at in zip(shard, begin, strict=False):
-        codes[at:at + len(p[3])] = np.frombuffer(p[3], np.uint8)
-        codes[at:at + len(p[3])] += 2
-        codes[at + len(p[3])] = 1
+    sizes = np.array([len(p[3]) + 1 for p in shard])
+    begin = np.append(0, np.cumsum(sizes))
+    owner = np.append(np.repeat(np.arange(len(shard), dtype=np.uint32), sizes), np.uint32(len(shard) - 1))
+    codes = np.frombuffer(b"\0".join([p[3] for p in shard]) + b"\0\0", np.uint8).astype(np.int64) + 2
+    codes[begin[1:] - 1] = 1
     codes[-1] = 0
-    owner = array("I", owner.astype(np.uint32).tobytes())
     best = None  # earliest window of the open class
-    for pos, common in suffixes(array("H", codes.tobytes()), length, scratch, limit):
-        if pos == begin[-1]:
+    held = np.empty((2, 0), np.int64)
+
+    def windows(pos: np.ndarray, common: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        nonlocal best
+        piece = owner[pos]
+        off = pos - begin[piece]
+        for c, k, o in zip(common.tolist(), piece.tolist(), off.tolist(), strict=True):
+            doc, rid, start = shard[k][:3]
+            this = (doc, rid, start + o)
+            if c >= length:
+                late, best = (this, best) if best < this else (best, this)
+                yield late[1], late[2], late[2] + length
+            else:
+                best = this
+
+    # a common prefix may run across separators: only suffixes that hold a whole window count
+    for pos, common in suffix_batches(codes, length, scratch, limit):
+        whole = begin[owner[pos] + 1] - 1 - pos >= length
+        pos, common = pos[whole], common[whole]
+        held = np.append(held, [pos, common], 1)
+        if held.shape[1] < 2:
             continue
-        piece = shard[owner[pos]]
-        off = pos - begin[owner[pos]]
-        if len(piece[3]) - off < length:
-            continue  # no whole window; it shares less than a window with any neighbour
-        this = (piece[0], piece[1], piece[2] + off)
-        if common >= length and best is not None:
-            late, best = (this, best) if best < this else (best, this)
-            yield late[1], late[2], late[2] + length
-        else:
-            best = this
+        whole = held[1] >= length
+        near = whole[:-1] | whole[1:]
+        yield from windows(*held[:, :-1][:, near])
+        held = held[:, -1:]
+    if held.shape[1] and held[1, 0] >= length:
+        yield from windows(*held)
 
 
 def sort_shards(root: str, length: int, gram: int, shard_bytes: int, limit: int):
     """Task over rows of ``PIECE_SCHEMA`` ordered by key: ``rid, spans`` that are removed."""
-    reach = (length - gram) // 2  # a window holds its gram and as much on one side of it
+    cuts = [(length - gram) * t // SIDES for t in range(SIDES + 1)]
 
     def alike(group: list[tuple]) -> list[tuple]:
-        """Pieces that may share a window with another one."""
-        def sides(p):
-            left = p[3][p[4] - reach:p[4] + gram] if p[4] >= reach else None
-            right = p[3][p[4]:p[4] + gram + reach] if len(p[3]) >= p[4] + gram + reach else None
-            return left, right
-        both = [sides(p) for p in group]
-        left, right = Counter(x for x, _ in both), Counter(y for _, y in both)
-        return [p for p, (x, y) in zip(group, both, strict=True) if (x is not None and left[x] > 1) or (y is not None and right[y] > 1)]
+        """Pieces that may share a window with another one: a window that begins from low
+        to high bytes before the gram holds all bytes that such windows have in common."""
+        def blocks(p):
+            return [(low, p[3][p[4] - low:p[4] + length - high]) for low, high in zip(cuts, cuts[1:], strict=False)
+                    if p[4] >= low and len(p[3]) >= p[4] + length - high]
+        of = [blocks(p) for p in group]
+        times = Counter(x for each in of for x in each)
+        return [p for p, each in zip(group, of, strict=True) if any(times[x] > 1 for x in each)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scratch = Scratch(root)
