@@ -22,7 +22,8 @@ first suffix that a push of the same batch might precede. A tuple's common prefi
 plus the least one between its source and the source before it with the same character,
 so it needs no look at the text. A queue of more than ``QUEUE_ITEMS`` tuples writes
 sorted runs to the shared folder. A shard's text and the order of its L suffixes are held
-in memory as arrays; only the queues and the sort of the substrings go to disk.
+in memory as arrays; the queues and the sort of the substrings go to disk when they hold
+more than ``QUEUE_ITEMS``.
 Neighbours in suffix order with a common prefix of at least ``LENGTH`` are one class:
 its earliest window stays, the bytes of all others are removed.
 
@@ -53,7 +54,7 @@ LENGTH = 100
 GRAM = 16
 CHUNK_BYTES = 32 << 20
 SHARD_BYTES = 4 << 20
-QUEUE_ITEMS = 1 << 20
+QUEUE_ITEMS = 1 << 21
 RUN_BLOCK = 4096
 PIECE = 1 << 19
 SIDES = 4
@@ -286,6 +287,49 @@ def in_order(keys: Iterator[tuple[bytes, int]], scratch: Scratch, limit: int) ->
     yield from heapq.merge(*runs, held) if runs else held
 
 
+def substrings_on_disk(codes: np.ndarray, stars: np.ndarray, scratch: Scratch, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """S* substrings in order and their names. One that is the beginning of another one is
+    the larger of both."""
+    raw = codes.astype(">u4").tobytes()
+    keys = ((raw[4 * a:4 * b] + b"\xff\xff\xff\xff", j)
+            for j, (a, b) in enumerate(zip(stars.tolist(), [*(stars[1:] + 1).tolist(), len(codes)], strict=True)))
+    named, order, name, before = array("I"), array("I"), -1, None
+    for key, j in in_order(keys, scratch, limit):
+        if key != before:
+            name, before = name + 1, key
+        named.append(name)
+        order.append(j)
+    return np.asarray(order, np.int64), np.asarray(named, np.int64)
+
+
+def substrings_in_memory(codes: np.ndarray, stars: np.ndarray, *_) -> tuple[np.ndarray, np.ndarray]:
+    """The same, for as many substrings as a queue may hold: groups of equal beginnings are
+    refined by the next few characters until they are single or wholly read."""
+    m, n = len(stars), len(codes)
+    size = np.append(stars[1:] + 1, n) - stars
+    end = int(codes.max()) + 1  # after the last character, above all of them
+    bits = end.bit_length()
+    group, rest, read, step = np.zeros(m, np.int64), np.arange(m), 0, 62 // bits
+    while len(rest):
+        word = np.zeros(len(rest), np.int64)
+        for at in range(read, read + step):
+            char = codes[np.minimum(stars[rest] + at, n - 1)]
+            word = word << bits | np.where(at < size[rest], char, np.where(at == size[rest], end, 0))
+        by = np.lexsort((word, group[rest]))
+        rest, word = rest[by], word[by]
+        old, place = group[rest], np.arange(len(rest))
+        starts = np.append(True, old[1:] != old[:-1])
+        splits = starts | np.append(True, word[1:] != word[:-1])
+        first = np.maximum.accumulate(np.where(splits, place, 0))
+        group[rest] = old + first - np.maximum.accumulate(np.where(starts, place, 0))
+        read += step
+        shared = ~splits | np.append(~splits[1:], False)
+        rest = rest[shared & (size[rest] >= read)]
+    order = np.argsort(group, kind="stable")
+    group = group[order]
+    return order, np.cumsum(np.append(0, group[1:] != group[:-1]))
+
+
 def star_order(codes: np.ndarray, cap: int, scratch: Scratch, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Leftmost S suffixes in order and each one's common prefix with the one before."""
     n = len(codes)
@@ -295,20 +339,12 @@ def star_order(codes: np.ndarray, cap: int, scratch: Scratch, limit: int) -> tup
     is_s = smaller[np.minimum(upto, n - 1)] > 0
     is_s[n - 1] = True
     stars = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
-    raw, m = codes.astype(">u4").tobytes(), len(stars)
-    # an S* substring that is the beginning of another one is the larger of both
-    keys = ((raw[4 * a:4 * b] + b"\xff\xff\xff\xff", j)
-            for j, (a, b) in enumerate(zip(stars.tolist(), [*(stars[1:] + 1).tolist(), n], strict=True)))
-    named, order, name, before = array("I"), array("I"), -1, None
-    for key, j in in_order(keys, scratch, limit):
-        if key != before:
-            name, before = name + 1, key
-        named.append(name)
-        order.append(j)
-    order, shared = np.asarray(order, np.int64), np.zeros(m, np.int64)
-    if name + 1 < m:
+    m = len(stars)
+    order, named = (substrings_in_memory if m <= limit else substrings_on_disk)(codes, stars, scratch, limit)
+    shared = np.zeros(m, np.int64)
+    if named[-1] + 1 < m:
         names = np.empty(m, np.int64)
-        names[order] = np.asarray(named, np.int64)
+        names[order] = named
         parts = list(suffix_batches(names, cap, scratch, limit))
         order = np.concatenate([p for p, _ in parts])[::-1]
         shared[1:] = np.concatenate([c for _, c in parts])[::-1][:-1]
@@ -488,7 +524,7 @@ def sort_shards(root: str, length: int, gram: int, shard_bytes: int, limit: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scratch = Scratch(root)
-        shard, size, key = [], 0, None
+        shard, size, key, last = [], 0, None, None
         group: dict[bytes, tuple] = {}
         found: dict[int, list[tuple[int, int]]] = {}
         n_found = 0
@@ -516,6 +552,14 @@ def sort_shards(root: str, length: int, gram: int, shard_bytes: int, limit: int)
 
         try:
             for b in batches:
+                if not b.num_rows:
+                    continue
+                keys = b.column(0).to_numpy()
+                again = keys[1:] == keys[:-1]
+                # a gram that no other row has; the last row is kept, as the next batch may have it
+                wanted = np.append(again, True) | np.append(keys[:1] == last, again)
+                last = keys[-1]
+                b = b.filter(pa.array(wanted | b.column(6).is_valid().to_numpy(zero_copy_only=False)))
                 for k, doc_id, rid, begin, at, body, done in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     if done is not None:
                         found.setdefault(rid, []).extend(map(tuple, np.frombuffer(done, "<i4").reshape(-1, 2).tolist()))
