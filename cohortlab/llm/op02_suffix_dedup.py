@@ -7,7 +7,8 @@ of whole grams can be sorted apart from each other without losing a match.
 
 A task first settles the pieces that repeat inside a chunk of its own rows: all but the
 earliest are covered whole, and only the earliest is shuffled. Thus a passage that a
-third of all rows hold leaves a task as a few pieces. Beyond the shuffle, copies of a
+third of all rows hold leaves a task as a few pieces. A chunk's pieces are shuffled as
+compressed blocks, one for each bucket of grams. Beyond the shuffle, copies of a
 piece are settled in the same way. Of the others only those go on that share a block
 around the gram with a different piece: for each of ``SIDES`` ranges of the place that a
 gram may have in a window, the bytes that all such windows hold. A window in common
@@ -52,12 +53,13 @@ from cohortlab.llm.common import shared_dir, table, text_or_empty
 
 LENGTH = 100
 GRAM = 16
-CHUNK_BYTES = 32 << 20
-SHARD_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
+BUCKETS = 16  # for each shuffle partition
+SHARD_BYTES = 3 << 20
 QUEUE_ITEMS = 1 << 21
 RUN_BLOCK = 4096
 PIECE = 1 << 19
-SIDES = 4
+SIDES = 8
 
 
 class Scratch:
@@ -381,6 +383,13 @@ def suffixes(text: array, cap: int, scratch: Scratch, limit: int = QUEUE_ITEMS)
         yield from zip(pos.tolist(), common.tolist(), strict=True)
 
 
+def gram_key(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of grams, from their first and last 8 bytes."""
+    mix = first * np.uint64(0x9E3779B97F4A7C15) + last * np.uint64(0xC2B2AE3D27D4EB4F)
+    mix = (mix ^ mix >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return mix ^ mix >> np.uint64(32)
+
+
 def pieces(data: bytes, length: int, gram: int) -> Iterator[tuple[int, int, int, int]]:
     """``key, begin, end, gram position`` of the windows in a row that share a gram."""
     codes = np.frombuffer(data, np.uint8)
@@ -391,9 +400,7 @@ def pieces(data: bytes, length: int, gram: int) -> Iterator[tuple[int, int, int,
         while width < 8:
             word = word[:-width] | word[width:] << np.uint64(8 * width)
             width *= 2
-        mix = word[:len(word) - (gram - 8)] * np.uint64(0x9E3779B97F4A7C15) + word[gram - 8:] * np.uint64(0xC2B2AE3D27D4EB4F)
-        mix = (mix ^ mix >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-        mix ^= mix >> np.uint64(32)
+        mix = gram_key(word[:len(word) - (gram - 8)], word[gram - 8:])
         low = mix >> np.uint64(20) << np.uint64(20) | np.arange(len(mix), dtype=np.uint64)
         width = 1
         while width < span:
@@ -427,16 +434,47 @@ def packed(spans: list[tuple[int, int]]) -> bytes:
     return np.array(merged(spans), "<i4").tobytes()
 
 
-def cut_pieces(length: int, gram: int, chunk_bytes: int):
-    """Task over (doc_id, rid, data): the earliest of equal pieces of a chunk, and per
-    document the spans of all later ones."""
+PACK_SCHEMA = "bucket int, rid long, size int, packed binary"
+PACK_TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+PACK_NAMES = [c.split()[0] for c in PACK_SCHEMA.split(", ")]
+
+
+def pack_rows(rows: list[tuple]) -> tuple[int, bytes]:
+    """Pieces (doc_id, rid, begin, gram, body), column by column and compressed."""
+    doc_id, rid, begin, at, body = zip(*rows, strict=True)
+    data = b"".join([np.int32(len(rows)).tobytes(), np.array([d or 0 for d in doc_id], "<i8").tobytes(),
+                     np.array(rid, "<i8").tobytes(), np.array(begin, "<i4").tobytes(), np.array(at, "<i4").tobytes(),
+                     np.cumsum([0, *map(len, body)]).astype("<i4").tobytes(), bytes([d is None for d in doc_id]), *body])
+    return len(data), pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpack_rows(size: int, packed_rows: bytes, gram: int) -> pa.RecordBatch:
+    data = pa.decompress(packed_rows, decompressed_size=size, codec="zstd", asbytes=True)
+    n, at = int.from_bytes(data[:4], "little"), 4
+
+    def column(kind: str, count: int) -> np.ndarray:
+        nonlocal at
+        out = np.frombuffer(data, kind, count, at)
+        at += out.nbytes
+        return out
+
+    doc_id, rid = column("<i8", n), column("<i8", n)
+    begin, at_gram, offsets = column("<i4", n), column("<i4", n), column("<i4", n + 1)
+    unnamed = column("?", n)
+    codes = np.frombuffer(data, np.uint8, offset=at)
+    first = (offsets[:-1] + at_gram)[:, None] + np.arange(8)
+    key = gram_key(codes[first].view("<u8")[:, 0], codes[first + gram - 8].view("<u8")[:, 0]).view(np.int64)
+    body = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data[at:])])
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc_id, mask=unnamed), pa.array(rid), pa.array(begin), pa.array(at_gram),
+                                       body, pa.nulls(n, pa.binary())], PIECE_NAMES)
+
 
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * len(PIECE_TYPES)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, PIECE_TYPES, strict=True)], PIECE_NAMES)
+def cut_pieces(length: int, gram: int, chunk_bytes: int, buckets: int):
+    """Task over (doc_id, rid, data): the earliest of equal pieces of a chunk, packed by
+    bucket of their key, and per document the spans of all later ones."""
 
     def settle(docs: list[tuple]) -> Iterator[pa.RecordBatch]:
-        seen, rows = set(), []
+        seen, rows, out = set(), {}, []
         for _, doc_id, rid, data in sorted(docs, key=lambda d: (d[0], d[1] or 0, d[2])):
             done = []
             for key, a, b, g in pieces(data, length, gram):
@@ -445,13 +483,13 @@ def cut_pieces(length: int, gram: int, chunk_bytes: int):
                     done.append((a, b))
                 else:
                     seen.add(body)
-                    rows.append((key, doc_id, rid, a, g - a, body, None))
+                    rows.setdefault(key % buckets, []).append((doc_id, rid, a, g - a, body))
             if done:
-                rows.append((rid, doc_id, rid, None, None, None, packed(done)))
-            if len(rows) > 20_000:
-                yield batch(rows)
-                rows = []
-        yield batch(rows)
+                out.append((rid % buckets, rid, None, packed(done)))
+        seen.clear()
+        out += [(bucket, None, *pack_rows(rows[bucket])) for bucket in rows]
+        cols = list(zip(*out, strict=True)) if out else [[]] * len(PACK_TYPES)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, PACK_TYPES, strict=True)], PACK_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -468,6 +506,21 @@ def cut_pieces(length: int, gram: int, chunk_bytes: int):
     return run
 
 
+def unpack(gram: int):
+    """Rows of ``PIECE_SCHEMA`` from those of ``PACK_SCHEMA``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for rid, size, data in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+                if size is not None:
+                    yield unpack_rows(size, data, gram)
+                    continue
+                row = (rid, None, rid, None, None, None, data)
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, PIECE_TYPES, strict=True)], PIECE_NAMES)
+
+    return run
+
+
 def removed_of_shard(shard: list[tuple], length: int, scratch: Scratch, limit: int) -> Iterator[tuple[int, int, int]]:
     """``rid, begin, end`` of repeated windows among pieces (doc rank, rid, begin, body):
     windows of a class are neighbours in suffix order, the earliest of them stays."""
@@ -599,8 +652,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chun
     if not (8 <= gram <= 16 and gram < length <= 255):
         raise ValueError("grams have 8 to 16 bytes, windows more than a gram and at most 255")
     root = f"{shared_dir(docs.sparkSession).rstrip('/')}/stage/suffix-queues"
-    cut = docs.select("doc_id", "rid", "data").mapInArrow(cut_pieces(length, gram, chunk_bytes), PIECE_SCHEMA)
-    shards = cut.repartition("key").sortWithinPartitions("key")
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = docs.select("doc_id", "rid", "data").mapInArrow(cut_pieces(length, gram, chunk_bytes, buckets), PACK_SCHEMA)
+    shards = cut.repartition("bucket").mapInArrow(unpack(gram), PIECE_SCHEMA).sortWithinPartitions("key")
     return shards.mapInArrow(sort_shards(root, length, gram, shard_bytes, queue_items), "rid long, spans binary")
 
 
