@@ -494,7 +494,7 @@ def cut_pieces(length: int, gram: int, chunk_bytes: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for b in batches:
-            for doc_id, rid, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), map(pa.Scalar.as_py, b.column(2)), strict=True):
+            for doc_id, rid, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), (x.as_py() for x in b.column(2)), strict=True):
                 if len(data) >= length:
                     held.append((doc_id is None, doc_id, rid, data))
                     size += len(data)
@@ -511,7 +511,7 @@ def unpack(gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for rid, size, data in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), map(pa.Scalar.as_py, b.column(3)), strict=True):
+            for rid, size, data in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), (x.as_py() for x in b.column(3)), strict=True):
                 if size is not None:
                     yield unpack_rows(size, data, gram)
                     continue
