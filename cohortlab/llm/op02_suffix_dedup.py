@@ -55,7 +55,7 @@ LENGTH = 100
 GRAM = 16
 CHUNK_BYTES = 5 << 20
 BUCKETS = 16  # for each shuffle partition
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 1 << 20
 QUEUE_ITEMS = 1 << 21
 RUN_BLOCK = 4096
 PIECE = 1 << 19
@@ -341,6 +341,7 @@ def star_order(codes: np.ndarray, cap: int, scratch: Scratch, limit: int) -> tup
     is_s = smaller[np.minimum(upto, n - 1)] > 0
     is_s[n - 1] = True
     stars = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
+    del smaller, decided, upto, is_s
     m = len(stars)
     order, named = (substrings_in_memory if m <= limit else substrings_on_disk)(codes, stars, scratch, limit)
     shared = np.zeros(m, np.int64)
