@@ -1,10 +1,11 @@
 """Benchmark decontamination: SimHash of item-sized windows, DataFrame operations only.
 
 A window is item-sized: it has as many words as the benchmark item it is held against.
-Two texts of similarity 0.8 share shingles, so every window that can match is anchored
-by a shingle of its item, and only anchored windows get a fingerprint: a shingle at word
-p of a document that is at word o of an item proposes the window from p - o (cut at the
-document's ends). Fingerprints of windows and items are 64-bit SimHashes of five-word
+Two texts of a and b shingles have weighted similarity t or more only if they share
+``(a + b) t / (1 + t)`` of them. The places of a document that hold a shingle of an item
+are counted, and every start whose window can hold that many is proposed, in whatever
+order the shared shingles stand; windows that cannot are never fingerprinted.
+Fingerprints of windows and items are 64-bit SimHashes of five-word
 shingles, cut into ``radius + 1`` blocks: fingerprints within the radius have at least one
 equal block, so joining on (item, block number, block) loses none of them. Candidates
 are verified by the weighted Jaccard similarity of the shingle multisets, 0.8 or more.
@@ -14,6 +15,8 @@ texts are about 32 bits apart, and a test holds items with an edit to less than
 
 Words are lower-cased runs outside ASCII white space. A text of fewer than five words is
 one shingle. Documents that are shorter than an item match it if the whole document does.
+Besides the item-sized windows, windows that a document's begin or end cuts are judged
+where a shingle at word p of the document is at word o of the item and p - o lies outside.
 
 Defined results: null and blank texts have no words and match nothing, as documents or
 as items; repeated rows are found each; empty tables give an empty result; other
@@ -22,7 +25,7 @@ columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortlab.llm.common import WORD_SPLIT, ascii_lower, keep_rows, stage, table, text_or_empty
@@ -65,6 +68,41 @@ def bag(rows: DataFrame, keys: list[str], shingles: str) -> DataFrame:
     return rows.select(*keys, F.explode(shingles).alias("h")).groupBy(*keys, "h").agg(F.count(F.lit(1)).alias("c"))
 
 
+def shared_least(a: Column, b: Column, similarity: float) -> Column:
+    """Shingles that texts of ``a`` and ``b`` shingles share at least if they are as similar."""
+    return F.greatest(F.ceil((a + b) * (similarity / (1 + similarity)) - 1e-6).cast("int"), F.lit(1))
+
+
+def whole_windows(hits: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Item-sized windows that can hold enough places of ``hits``: a place enters the count of
+    starts at its first window and leaves it after its last. A shorter document is one window."""
+    keys = ["doc_id", "text_hash", "item"]
+    length = F.least("item_words", "n")
+    size = F.greatest(length - (words - 1), F.lit(1))
+    events = (hits.repartition(*keys).select(
+        *keys, length.alias("length"), (F.col("n") - length).alias("last"), shared_least(size, F.col("ni"), similarity).alias("need"),
+        F.explode(F.array(F.struct((F.col("p") - size + 1).alias("at"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                          F.struct((F.col("p") + 1).alias("at"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("e"))
+        .groupBy(*keys, "length", "last", "need", F.col("e.at").alias("at")).agg((F.max("e.up") - F.max("e.down")).alias("step")))
+    along = Window.partitionBy(*keys).orderBy("at")
+    runs = (events.withColumns({"held": F.sum("step").over(along), "next": F.lead("at").over(along)}).filter("held >= need")
+            .withColumns({"low": F.greatest("at", F.lit(0)), "high": F.least(F.col("next") - 1, F.col("last"))}).filter("low <= high"))
+    return (runs.select(*keys, "length", F.explode(F.sequence("low", "high")).alias("start"))
+            .select(*keys, "start", (F.col("start") + F.col("length")).alias("stop")))
+
+
+def cut_windows(hits: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Windows that an offset in ``hits`` proposes and the document's begin or end cuts, if they
+    are long enough."""
+    begin = hits.withColumn("o", F.explode("offsets")).withColumn("begin", F.col("p") - F.col("o"))
+    spots = (begin.filter("begin < 0 or begin + item_words > n")
+             .withColumns({"start": F.greatest("begin", F.lit(0)),
+                           "stop": F.least("n", F.greatest(F.col("begin") + F.col("item_words"), F.lit(1)))}))
+    size = F.greatest(F.col("stop") - F.col("start") - (words - 1), F.lit(1))
+    return (spots.filter(size >= shared_least(size, F.col("ni"), similarity))
+            .select("doc_id", "text_hash", "item", "start", "stop"))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
             radius: int = RADIUS) -> DataFrame:
     """``doc_id, text_hash, item_id, start, distance, similarity``: every window (start in words)
@@ -77,12 +115,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, similarit
     texts = items.dropDuplicates(["item"]).select("item", "item_words", "ish")
     source = docs.select("doc_id", text_or_empty("text").alias("text")).select(
         "doc_id", F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("w")).filter("size(w) > 0")
-    anchors = texts.select("item", "item_words", F.posexplode("ish").alias("o", "h"))
+    anchors = (texts.select("item", "item_words", F.size("ish").alias("ni"), F.posexplode("ish").alias("o", "h"))
+               .groupBy("item", "item_words", "ni", "h").agg(F.collect_list("o").alias("offsets")))
     places = source.select("doc_id", "text_hash", F.size("w").alias("n"), F.posexplode(shingles_of(F.col("w"), words)).alias("p", "h"))
-    found = (places.join(anchors, "h")
-             .select("doc_id", "text_hash", "item", F.greatest(F.col("p") - F.col("o"), F.lit(0)).alias("start"),
-                     F.least(F.col("n"), F.greatest(F.col("p") - F.col("o") + F.col("item_words"), F.lit(1))).alias("stop"))
-             .distinct())
+    hits = stage(places.join(anchors, "h").drop("h"), "decon-hits")
+    found = whole_windows(hits, words, similarity).union(cut_windows(hits, words, similarity)).distinct()
     windows = stage(found, "decon-windows")
     spots = windows.select("doc_id", "text_hash", "start", "stop").distinct()
     held = spots.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "stop")).alias("spots"))

@@ -66,6 +66,35 @@ def test_decontamination_matches_brute_force(odd, bench):
     assert got == want and (9, 1) in got and (9, 5) in got and (11, 4) in got
 
 
+def test_decontamination_judges_every_window(spark):
+    # swapped sentences, edits and repeats: starts that no shingle's own offset gives
+    rng = np.random.default_rng(5)
+    items, docs = [], []
+    for k, n in enumerate((40, 60, 47, 90, 18)):
+        w = [f"w{x}" for x in rng.integers(0, 10**6 if k != 2 else 3, n)]
+        items.append((k, " ".join(w)))
+        around = [f"v{x}" for x in rng.integers(0, 10**6, 50)]
+        for cut in (n // 2, n // 3):
+            swapped = w[cut:] + w[:cut]
+            docs += [(len(docs), " ".join(around + swapped + around)), (len(docs) + 1, " ".join(swapped)),
+                     (len(docs) + 2, " ".join(around + swapped[:-2] + ["edit"] + around)), (len(docs) + 3, " ".join(around + w[:-1] + w))]
+    want = set()
+    for d, text in docs:
+        w = split(text)
+        for i, item in items:
+            y = Counter(shingles(split(item)))
+            size = len(split(item))
+            for a in range(max(1, len(w) - size + 1)):
+                x = Counter(shingles(w[a:a + size]))
+                if sum((x & y).values()) / sum((x | y).values()) >= 0.8:
+                    want.add((d, i, a))
+    found = op06_decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, BENCH))
+    got = {(r.doc_id, r.item_id, r.start) for r in found.collect()}
+    assert want <= got and (8, 1) in {x[:2] for x in want}
+    inside = {(d, i) for d, i, _ in got - want}
+    assert inside <= {(d, i) for d, i, _ in want}
+
+
 def test_radius_covers_similar_windows(spark):
     # items that differ by one edit: those at 0.8 or more lie within the radius
     rng = np.random.default_rng(3)
