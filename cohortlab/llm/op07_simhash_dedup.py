@@ -226,13 +226,14 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLO
 
 
 def near_groups(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
-    """``doc_id, text_hash, fp, component_id`` for every row."""
+    """``doc_id, text_hash, fp, root, component_id`` for every row; ``root`` is the component's
+    smallest fingerprint, as ids may be null or stand on unlike texts."""
     rows = stage(fingerprints(docs, words), "simhash-rows")
     fps = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-fps")
     roots = components(fingerprint_links(fps.select("fp"), max_bits, block))
     placed = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stage(placed.join(names, "root").select("fp", "component_id"), "simhash-components")
+    named = stage(placed.join(names, "root").select("fp", "root", "component_id"), "simhash-components")
     return rows.join(named, "fp")
 
 
@@ -240,7 +241,7 @@ def keep_one(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> D
     """The rows of ``docs``, all columns: one row of each near-duplicate group."""
     groups = near_groups(docs, words, max_bits)
     named = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select("k.*")
+    kept = named.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select("k.*")
     return keep_rows(docs, kept, once=True)
 
 

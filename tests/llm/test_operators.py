@@ -136,6 +136,15 @@ def test_simhash_matches_brute_force(odd):
     assert got == want
 
 
+def test_keep_one_of_each_component(spark):
+    # unlike texts without an id, and unlike texts of one id, are components of their own
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 60)) for _ in range(6)]
+    rows = [(None, t) for t in texts[:4]] + [(None, texts[0]), (3, texts[4]), (3, texts[5]), (9, texts[5])]
+    kept = op07_simhash_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(None, t) for t in texts[:4]] + [(3, texts[4]), (3, texts[5])])
+
+
 @pytest.mark.parametrize("block", [4, 4096])
 def test_simhash_long_lists(spark, block):
     docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.lit(f"w{i}") for i in range(300)], F.col("id").cast("string")).alias("text"))
