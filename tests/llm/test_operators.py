@@ -239,6 +239,20 @@ def test_quality_odd_rows(spark, odd):
     assert quality.keep_good(odd, labels).columns == odd.columns
 
 
+def test_quality_of_repeated_rows(spark):
+    rng = np.random.default_rng(2)
+    good = [(i, " ".join(f"w{x}" for x in rng.integers(0, 30, 40)), "en") for i in range(60)]
+    poor = [(100, "w1 w2 w3 zz yy w4 w5 w6 xx", "en"), (None, "w7 w8 qq w9 w1 w2", "en")]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], LABELS)
+    held = [r for r in good if zlib.crc32(f"train {r[0]}".encode()) % 2]  # they set the threshold, the model does not learn from them
+    found = []
+    for copies in (1, 6):
+        rows = quality.classify(spark.createDataFrame(good + (poor * copies) + held * (copies - 1), "doc_id long, text string, lang string"), labels).collect()
+        assert len(rows) == 60 + (2 * copies) + len(held) * (copies - 1)
+        found.append({(r.doc_id, round(r.perplexity, 9), round(r.threshold, 9), r.kept) for r in rows})
+    assert found[0] == found[1] and len(found[0]) == 62
+
+
 def test_attention_gradient():
     rng = np.random.default_rng(0)
     model = lm.Attention(500)
