@@ -6,9 +6,8 @@ a Unigram with their scores. BPE models become a BPE whose merges are the splits
 each piece into two pieces, ranked by the piece's score. Where no piece holds a marker
 behind another sign, merges never cross words: texts are cut at the markers, and each
 distinct word of a worker goes through the pipeline once. Batches are encoded on
-several threads, decoded again, and the ids are compared with the sentencepiece
-library's: word by word for every row, and for one whole text of every group, of texts
-with neighbouring spaces and of models whose merges cross words, text by text.
+several threads. The ids of every row's whole text are decoded again and compared with
+the text, and compared with the ids that the sentencepiece library gives the whole text.
 
 Defined results: a null or empty text has no ids, decodes to the empty text and is
 in parity. Rows and columns besides doc_id and text do not matter; an empty table gives
@@ -20,7 +19,6 @@ from __future__ import annotations
 import os
 import struct
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +32,6 @@ THREADS = 2
 MODEL_MAX_BYTES = 64 << 20
 GROUP_BYTES = 8 << 20
 WORD_TABLE = 800_000
-SPOT_CHARS = 2000
 # Fixed values of the model format: marker of a space, piece types, model types.
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -158,8 +155,9 @@ class Codec:
     """Encoder and decoder of one model in one Python worker.
 
     If merges cannot cross words, a text is the concatenation of its words, so each
-    distinct word is encoded, decoded and compared with the library once and kept in
-    two half tables of about ``WORD_TABLE`` words; the older half goes when the other is full."""
+    distinct word is encoded once and kept in two half tables of about ``WORD_TABLE``
+    words; the older half goes when the other is full. Round trip and parity are those of
+    whole texts."""
 
     def __init__(self, data: bytes, threads: int = THREADS, word_table: int = WORD_TABLE):
         os.environ["RAYON_NUM_THREADS"] = str(threads)
@@ -178,38 +176,33 @@ class Codec:
         self.opens = np.array([p.startswith(MARK) for p, *_ in m["pieces"]])
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.unlike: set[str] = set()  # words of another encoding than the library's
-        self.lossy: set[str] = set()  # words that decode to something else
 
-    def whole(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
-        """Ids as bytes, round trip and parity of texts taken whole."""
-        ids = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-        back = self.tok.decode_batch(ids, skip_special_tokens=False)
+    def judged(self, texts: list[str], ids: list[bytes]) -> list[tuple[bytes, bool, bool]]:
+        """Ids as bytes, round trip and parity of whole texts."""
+        back = self.decode([np.frombuffer(i, np.int32).tolist() for i in ids])
         said = self.library.encode(texts, num_threads=self.threads)
-        return [(np.asarray(i, np.int32).tobytes(), b == t, i == r) for i, b, t, r in zip(ids, back, texts, said, strict=True)]
+        return [(i, b == t, i == np.asarray(r, np.int32).tobytes()) for i, b, t, r in zip(ids, back, texts, said, strict=True)]
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts taken whole."""
+        return [np.asarray(e.ids, np.int32).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: list[str]) -> None:
-        """Encode words as batches of word lists, which the threads share, decode each
-        list in one piece and compare its ids with the library's."""
+        """Encode words as batches of word lists, which the threads share. A list whose pieces do
+        not show the words' borders is encoded word by word."""
         lists = [words[k:k + 2000] for k in range(0, len(words), 2000)]
         found = self.bare.encode_batch_fast([[MARK + w for w in part] for part in lists], is_pretokenized=True, add_special_tokens=False)
-        back = self.tok.decode_batch([e.ids for e in found], skip_special_tokens=False)
-        for part, e, text in zip(lists, found, back, strict=True):
+        for part, e in zip(lists, found, strict=True):
             ids = np.asarray(e.ids, np.int32)
             ends = np.append(np.flatnonzero(self.opens[ids]), len(ids))  # a word's first piece holds its marker
             cut = ends.tolist()
-            self.words.update((w, ids[a:b].tobytes()) for w, a, b in zip(part, cut[:-1], cut[1:], strict=True))
-            said = self.library.encode(part, num_threads=self.threads)
-            if text != " ".join(part) or list(chain.from_iterable(said)) != e.ids or [len(x) for x in said] != np.diff(ends).tolist():
-                for w, (own, trip, same) in zip(part, self.whole(part), strict=True):
-                    self.words[w] = own
-                    if not same:
-                        self.unlike.add(w)
-                    if not trip:
-                        self.lossy.add(w)
+            if len(cut) == len(part) + 1:
+                self.words.update((w, ids[a:b].tobytes()) for w, a, b in zip(part, cut[:-1], cut[1:], strict=True))
+            else:
+                self.words.update(zip(part, self.whole(part), strict=True))
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
-        out: list = [(b"", True, True)] * len(texts)
+        out = [b""] * len(texts)
         # neighbouring markers may merge; texts that have them go whole
         whole = [i for i, t in enumerate(texts) if t and (not self.by_word or "  " in t or MARK in t or t[0] == " " or t[-1] == " ")]
         if whole:
@@ -226,10 +219,10 @@ class Codec:
             self.learn(sorted(new))
         table = self.words
         for i, words in split.items():
-            out[i] = (b"".join([table[w] for w in words]), self.lossy.isdisjoint(words), self.unlike.isdisjoint(words))
+            out[i] = b"".join([table[w] for w in words])
         if len(table) > self.word_table // 2:  # words that were not met again go with the older half
             self.older, self.words = table, {}
-        return out
+        return self.judged(texts, out)
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tok.decode_batch(ids, skip_special_tokens=False)
@@ -238,8 +231,7 @@ class Codec:
 OUT = "n_bytes long, n_tokens long, n_byte_tokens long, ids array<int>, ids_crc32 long, round_trip boolean, parity boolean"
 
 
-def encode(docs: DataFrame, model: str | bytes = MODEL_PATH, threads: int = THREADS, group_bytes: int = GROUP_BYTES,
-           keep_ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, model: str | bytes = MODEL_PATH, threads: int = THREADS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Ids of every row's whole text, with round trip and parity. Texts go to the
     threads in groups of about ``group_bytes``, so that memory follows the longest text."""
     import zlib
@@ -271,15 +263,11 @@ def encode(docs: DataFrame, model: str | bytes = MODEL_PATH, threads: int = THRE
         for batch in batches:
             for doc_ids, texts in groups(batch):
                 found = codec.encode(texts)
-                if codec.by_word:  # the whole path, once a group: words alone give the same
-                    k = max(range(len(texts)), key=lambda i: -abs(len(texts[i]) - SPOT_CHARS))
-                    if codec.whole([texts[k]])[0] != found[k]:
-                        raise ValueError("a text and its words are encoded differently")
                 arrays = [np.frombuffer(f[0], np.int32) for f in found]
                 flat = np.concatenate(arrays)
                 ends = np.cumsum([0, *map(len, arrays)])
                 fallback = np.concatenate([[0], np.cumsum((flat >= low) & (flat < low + 256))]) if low >= 0 else np.zeros(len(flat) + 1)
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)) if keep_ids else pa.nulls(len(found), pa.list_(pa.int32()))
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([
                     doc_ids, pa.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64()),
                     pa.array(np.diff(ends), pa.int64()), pa.array((fallback[ends[1:]] - fallback[ends[:-1]]).astype(np.int64)),
@@ -291,4 +279,4 @@ def encode(docs: DataFrame, model: str | bytes = MODEL_PATH, threads: int = THRE
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(table(spark, sf_dir, "documents"), keep_ids=False).drop("ids")
+    return encode(table(spark, sf_dir, "documents"))

@@ -1,8 +1,8 @@
 """The corpus pipeline: filter, deduplicate, decontaminate and tokenize ``documents``.
 
 Every stage takes the documents that the one before it kept, as Parquet in the shared
-folder, and returns rows with the columns of ``documents``; the last returns one row of
-token figures for each document that is left. Nulls, empty texts, repeated rows and
+folder, and returns rows with the columns of ``documents``; the last returns one row with
+the token ids and their figures for each document that is left. Nulls, empty texts, repeated rows and
 empty tables have the results that the operators define; extra columns pass through to
 the last stage, which takes doc_id and text only.
 """
@@ -32,7 +32,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return op09_sentencepiece.encode(docs, keep_ids=False).drop("ids")
+    return op09_sentencepiece.encode(docs)
 
 
 STAGES = [

@@ -191,6 +191,32 @@ def test_sentencepiece_round_trip(odd):
     assert {r.n_tokens for r in rows if r.doc_id in (4, 5)} == {0}
 
 
+def test_sentencepiece_ids_of_whole_texts(spark, odd, tmp_path):
+    import sentencepiece
+
+    # the registered query returns the ids, and they are the library's for the whole text
+    odd.write.parquet(f"{tmp_path}/documents.parquet")
+    library = sentencepiece.SentencePieceProcessor(model_file=op09_sentencepiece.MODEL_PATH)
+    rows = op09_sentencepiece.query(spark, str(tmp_path)).collect()
+    want = Counter((r.doc_id, tuple(library.encode(r.text or ""))) for r in odd.collect())
+    assert Counter((r.doc_id, tuple(r.ids)) for r in rows) == want
+    assert corpus_pipeline.tokenize(spark, odd, str(tmp_path)).columns == ["doc_id", *(x.split()[0] for x in op09_sentencepiece.OUT.split(", "))]
+
+
+def test_sentencepiece_parity_is_of_whole_texts():
+    # a text that the library encodes otherwise than its words is not in parity, and ends no job
+    with open(op09_sentencepiece.MODEL_PATH, "rb") as f:
+        codec = op09_sentencepiece.Codec(f.read())
+    real = codec.library
+
+    class Other:
+        def encode(self, texts, num_threads=1):
+            return [ids[:-1] if " " in t else ids for t, ids in zip(texts, real.encode(texts), strict=True)]
+
+    codec.library = Other()
+    assert [(r, p) for _, r, p in codec.encode(["some words", "word", ""])] == [(True, False), (True, True), (True, True)]
+
+
 def reference_perplexity(train, text):
     """Modified Kneser-Ney of order 2, written out by recursion."""
     seqs = [["<s>", *split(t), "</s>"] for t in train]
