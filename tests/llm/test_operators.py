@@ -296,6 +296,17 @@ def test_attention_gradient():
     assert (at[0] - at[1]) / 0.02 == pytest.approx(float(np.linalg.norm(grad)), rel=0.05)
 
 
+def test_lm_learns_from_every_training_document(spark):
+    # each document has an id of its own, whose embedding moves only if the document is learned from
+    sub = lm.Subwords(*lm.read_vocabulary(lm.VOCABULARY))
+    found = ((i, sub.encoding.decode_single_token_bytes(i)) for i in range(2000, 20000))
+    own = [(i, b[1:].decode()) for i, b in found if re.fullmatch(rb" [a-z]{4,}", b) and sub.encoding.encode_ordinary(b.decode()) == [i]][:60]
+    docs = spark.createDataFrame([(k, " ".join([w] * 8)) for k, (_, w) in enumerate(own)], "doc_id long, text string").repartition(2)
+    n, vector, _ = lm.train_model(docs, sample_rows=1, steps=1)
+    moved = (lm.Attention(n, vector).p["embed"] != lm.Attention(n).p["embed"]).any(axis=1)
+    assert [bool(moved[i]) for i, _ in own] == [zlib.crc32(str(k).encode()) % 10 != 0 for k in range(60)]
+
+
 def test_lm_counts_match_brute_force(odd):
     rows = odd.select("doc_id", "text").collect()
     train = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 != 0
