@@ -14,7 +14,7 @@ The blocks lose no pair within ``RADIUS``; similarity itself bounds no distance.
 texts are about 32 bits apart, and a test holds items with an edit to less than ``RADIUS``.
 
 Words are lower-cased runs outside ASCII white space. A text of fewer than five words is
-one shingle. Documents that are shorter than an item match it if the whole document does.
+one shingle; items of fewer are looked for among the documents' runs of as many words. Documents that are shorter than an item match it if the whole document does.
 Besides the item-sized windows, windows that a document's begin or end cuts are judged
 where a shingle at word p of the document is at word o of the item and p - o lies outside.
 
@@ -117,8 +117,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, similarit
         "doc_id", F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("w")).filter("size(w) > 0")
     anchors = (texts.select("item", "item_words", F.size("ish").alias("ni"), F.posexplode("ish").alias("o", "h"))
                .groupBy("item", "item_words", "ni", "h").agg(F.collect_list("o").alias("offsets")))
-    places = source.select("doc_id", "text_hash", F.size("w").alias("n"), F.posexplode(shingles_of(F.col("w"), words)).alias("p", "h"))
-    hits = stage(places.join(anchors, "h").drop("h"), "decon-hits")
+    place = ["doc_id", "text_hash", F.size("w").alias("n")]
+    places = source.select(*place, F.posexplode(shingles_of(F.col("w"), words)).alias("p", "h"))
+    hits = places.join(anchors.filter(F.col("item_words") >= words), "h").drop("h")
+    for r in texts.filter(F.col("item_words") < words).select("item_words").distinct().collect():  # fewer than ``words`` rows
+        k = r["item_words"]
+        runs = source.filter(F.size("w") >= k).select(*place, F.posexplode(shingles_of(F.col("w"), k)).alias("p", "h"))
+        hits = hits.unionByName(runs.join(anchors.filter(F.col("item_words") == k), "h").drop("h"))
+    hits = stage(hits, "decon-hits")
     found = whole_windows(hits, words, similarity).union(cut_windows(hits, words, similarity)).distinct()
     windows = stage(found, "decon-windows")
     spots = windows.select("doc_id", "text_hash", "start", "stop").distinct()

@@ -95,6 +95,18 @@ def test_decontamination_judges_every_window(spark):
     assert inside <= {(d, i) for d, i, _ in want}
 
 
+def test_decontamination_of_short_items(spark):
+    docs = [(0, "one two three four five six seven"), (1, "Two  three"), (2, "two four three"), (3, "x two three two three y"), (4, "one two three"), (5, "seven")]
+    items = [(0, "two three"), (1, "seven"), (2, "four five six seven"), (3, "two three two three y")]
+    want = set()
+    for d, text in docs:
+        for i, item in items:
+            w, iw = split(text), split(item)
+            want |= {(d, i, a) for a in range(len(w) - len(iw) + 1) if w[a:a + len(iw)] == iw}
+    found = op06_decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, BENCH))
+    assert {(r.doc_id, r.item_id, r.start) for r in found.collect()} == want and (0, 0, 1) in want
+
+
 def test_radius_covers_similar_windows(spark):
     # items that differ by one edit: those at 0.8 or more lie within the radius
     rng = np.random.default_rng(3)
