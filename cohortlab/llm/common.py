@@ -128,3 +128,20 @@ def keep_rows(docs: DataFrame, kept: DataFrame, once: bool = False, how: str = "
 
 def empty_frame(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
+
+
+def placed(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
+    """``df`` with ``place``, 1 for a key's first row by ``order`` (nulls first), staged. A
+    key may hold any share of the rows: they are dealt out in ranges of key and order, and
+    places counted in a range move on by the key's rows in the ranges before it. Only keys
+    that span ranges need that, so the table sent out has a row for each range at most."""
+    dealt = stage(df.repartitionByRange(key, *order).withColumn("in_range", F.spark_partition_id()), name)
+    counts = dealt.groupBy(key, "in_range").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(key).orderBy("in_range").rowsBetween(Window.unboundedPreceding, -1)
+    moved = (counts.withColumn("earlier", F.sum("n").over(earlier)).filter("earlier > 0")
+             .select(F.col(key).alias("moved_key"), F.col("in_range").alias("moved_range"), "earlier"))
+    nth = F.row_number().over(Window.partitionBy(key, "in_range").orderBy(*order))
+    return (dealt.withColumn("nth", nth)
+            .join(F.broadcast(moved), (F.col(key) == F.col("moved_key")) & (F.col("in_range") == F.col("moved_range")), "left")
+            .withColumn("place", F.col("nth") + F.coalesce("earlier", F.lit(0)))
+            .drop("in_range", "nth", "moved_key", "moved_range", "earlier"))

@@ -1,4 +1,4 @@
-"""The queries of the ten operators and of the corpus pipeline, with their SQL."""
+"""The queries of the operators and of the corpus pipeline, with their SQL."""
 
 from __future__ import annotations
 
@@ -18,6 +18,9 @@ from cohortlab.llm import (
     op08_exact_dedup,
     op09_sentencepiece,
     op10_url_filter,
+    op11_prefix_trie,
+    op12_jaccard_join,
+    op13_structure_repair,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +38,9 @@ def registry() -> dict[str, Query]:
         "op8_exact_dedup": op08_exact_dedup.query,
         "op9_sentencepiece": op09_sentencepiece.query,
         "op10_url_filter": op10_url_filter.query,
+        "op11_prefix_trie": op11_prefix_trie.query,
+        "op12_jaccard_join": op12_jaccard_join.query,
+        "op13_structure_repair": op13_structure_repair.query,
         "pipeline": corpus_pipeline.run,
     }
 
