@@ -45,13 +45,14 @@ from cohortlab.llm.common import components, stage, table, text_or_empty
 WORDS, PERCENT = 3, 90
 BUCKET_PAIRS = 1 << 21  # (shingle, set) pairs that one task sorts at a time
 COMMON_ONE_IN = 1000  # a shingle in this part of the texts or more is common
-COMMON_COUNT = 1 << 40  # stands for a common shingle's number of sets
+COMMON_COUNT = (1 << 32) - 1  # stands for a common shingle's number of sets
+ANSWER_PAIRS = 1 << 21  # pairs that a task gathers over its buckets before it packs them by set
 SET_BUCKETS = 1 << 40  # of common shingles, by set
 BLOCK = 256  # entries of an index list in a block
 MIX = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
 MEMBER_SCHEMA = "doc_id long, sid long, size long, shingle long, times long"
 PACK_SCHEMA = "bucket long, n long, shingles binary, owners binary, sids binary, sizes binary"
-SHARED_SCHEMA = "sid long, size long, shingles binary, counts binary"
+SHARED_SCHEMA = "part long, sids binary, sizes binary, lengths binary, shingles binary, counts binary"
 KEPT_SCHEMA = "sid long, size long, shared binary, prefix array<long>, first long"
 ANSWER_SCHEMA = "a long, b long, hub_shared long, shared long, size long, link boolean, less binary, plus binary"
 BLOCK_SCHEMA = ("shingle long, block long, sids binary, sizes binary, places binary, classes binary, "
@@ -126,8 +127,7 @@ def pack(words: int, buckets: int, common: np.ndarray):
                 value, owner = value[~hit], owner[~hit]
             order = np.argsort(value, kind="stable")
             value, owner = value[order], owner[order]
-            bucket = ((value >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            for k, at, end in zip(*runs(bucket), strict=True):
+            for k, at, end in zip(*runs(scaled(value, buckets)), strict=True):
                 here, of = np.unique(owner[at:end], return_inverse=True)
                 rows.append((k, end - at, value[at:end].view(np.uint8).reshape(-1, 8).T.tobytes(),
                              of.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes(), sids[here].tobytes(), sizes[here].tobytes()))
@@ -155,55 +155,81 @@ def planes(data: bytes, n: int, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(-1, n).T).view(kind).ravel()
 
 
-def answer_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def scaled(values: np.ndarray, parts: int) -> np.ndarray:
+    """Part of each 64-bit value's range, in order of the values."""
+    return ((values >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def shared_pairs(value: np.ndarray, sid: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The pairs, once, whose shingle another set has, with its number of sets."""
+    order = np.argsort(value, kind="stable")
+    value, sid, size = value[order], sid[order], size[order]
+    same = value[1:] == value[:-1]
+    more = np.append(same, False) | np.append(False, same)
+    value, sid, size = value[more], sid[more], size[more]
+    order = np.lexsort((sid, value))
+    value, sid, size = value[order], sid[order], size[order]
+    once = np.append(True, (value[1:] != value[:-1]) | (sid[1:] != sid[:-1]))[:len(value)]
+    value, sid, size = value[once], sid[once], size[once]
+    _, at, end = runs(value)
+    lengths = np.subtract(end, at).astype(np.int64)
+    times = np.repeat(lengths, lengths)
+    two = times > 1
+    return value[two], sid[two], size[two], np.minimum(times[two], COMMON_COUNT - 1)
+
+
+def answer_buckets(parts: int, most: int):
     """Task over packed rows in order of bucket: each set's shingles that another set has,
-    once; common ones have no counts."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    now, seen = None, set()
-
-    def out(rows: list[tuple]) -> pa.RecordBatch:
-        return as_batch(rows, SHARED_SCHEMA)
-
-    def close() -> Iterator[pa.RecordBatch]:
-        if not held:
-            return
-        value, sid, size = (np.concatenate(c) for c in zip(*held, strict=True))
-        held.clear()
-        order = np.argsort(value, kind="stable")
-        value, sid, size = value[order], sid[order], size[order]
-        same = value[1:] == value[:-1]
-        more = np.append(same, False) | np.append(False, same)
-        value, sid, size = value[more], sid[more], size[more]
-        order = np.lexsort((sid, value))
-        value, sid, size = value[order], sid[order], size[order]
-        once = np.append(True, (value[1:] != value[:-1]) | (sid[1:] != sid[:-1])) if len(value) else np.empty(0, bool)
-        value, sid, size = value[once], sid[once], size[once]
-        _, at, end = runs(value)
-        times = np.repeat(np.subtract(end, at), np.subtract(end, at)) if len(value) else np.empty(0, np.int64)
-        two = times > 1
-        value, sid, size, times = value[two], sid[two], size[two], times[two]
-        order = np.argsort(sid, kind="stable")
-        value, sid, size, times = value[order], sid[order], size[order], times[order]
-        rows = [(s, int(size[a]), value[a:e].tobytes(), times[a:e].astype(np.int64).tobytes()) for s, a, e in zip(*runs(sid), strict=True)]
-        for k in range(0, len(rows), 4096):
-            yield out(rows[k:k + 4096])
-
-    for b in batches:
-        common = []
-        for bucket, n, shingles, owners, sids, sizes in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if bucket != now:
-                yield from close()
-                now = bucket
-                seen.clear()
-            if bucket < 0:
-                if sids not in seen:
+    once, gathered over buckets and packed by parts of the sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        ready: list[tuple[np.ndarray, ...]] = []
+        now, seen, n_ready = None, set(), 0
+
+        def close() -> None:
+            nonlocal n_ready
+            if held:
+                ready.append(shared_pairs(*(np.concatenate(c) for c in zip(*held, strict=True))))
+                n_ready += len(ready[-1][0])
+                held.clear()
+
+        def pack_up() -> pa.RecordBatch:
+            nonlocal n_ready
+            rows = []
+            if ready:
+                value, sid, size, times = (np.concatenate(c) for c in zip(*ready, strict=True))
+                ready.clear()
+                n_ready = 0
+                order = np.argsort(sid, kind="stable")
+                value, sid, size, times = value[order], sid[order], size[order], times[order]
+                part = scaled(sid.view(np.uint64) ^ np.uint64(1 << 63), parts)
+                for k, at, end in zip(*runs(part), strict=True):
+                    own, first, last = runs(sid[at:end])
+                    rows.append((k, np.array(own, np.int64).tobytes(), size[at:end][first].astype(np.uint32).tobytes(),
+                                 np.subtract(last, first).astype(np.uint32).tobytes(), value[at:end].tobytes(), times[at:end].astype(np.uint32).tobytes()))
+            return as_batch(rows, SHARED_SCHEMA)
+
+        for b in batches:
+            for bucket, n, shingles, owners, sids, sizes in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if bucket != now:
+                    close()
+                    now = bucket
+                    seen.clear()
+                    if n_ready >= most:
+                        yield pack_up()
+                sids_, sizes_ = np.frombuffer(sids, np.int64), np.frombuffer(sizes, np.int64)
+                if bucket >= 0:
+                    of = planes(owners, n, np.uint32)
+                    held.append((planes(shingles, n, np.uint64), sids_[of], sizes_[of]))
+                elif sids not in seen:
                     seen.add(sids)
-                    common.append((*np.frombuffer(sids, np.int64).tolist(), *np.frombuffer(sizes, np.int64).tolist(), shingles, None))
-                continue
-            of = planes(owners, n, np.uint32)
-            held.append((planes(shingles, n, np.uint64), np.frombuffer(sids, np.int64)[of], np.frombuffer(sizes, np.int64)[of]))
-        yield out(common)
-    yield from close()
+                    ready.append((np.frombuffer(shingles, np.uint64), np.repeat(sids_, n), np.repeat(sizes_, n), np.full(n, COMMON_COUNT)))
+                    n_ready += n
+        close()
+        yield pack_up()
+
+    return run
 
 
 def least_overlap(size: int, percent: int) -> int:
@@ -212,22 +238,39 @@ def least_overlap(size: int, percent: int) -> int:
 
 
 def keep_able(percent: int):
-    """Task over (sid, size, parts): the sets that can link, with the shared shingles in
-    order and the part of the prefix that the index needs, from place ``first`` on."""
+    """Task over rows of ``SHARED_SCHEMA`` in order of part: the sets that can link, with the
+    shared shingles in order and the part of the prefix that the index needs, from place
+    ``first`` on."""
+
+    def able(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        sids, sizes, lengths, value, times = (
+            np.concatenate([np.frombuffer(r[k], t) for r in rows]) for k, t in enumerate((np.int64, np.uint32, np.uint32, np.uint64, np.uint32)))
+        sid, size = np.repeat(sids, lengths), np.repeat(sizes, lengths)
+        order = np.lexsort((value, times, sid))
+        value, sid, size = value[order], sid[order], size[order].astype(np.int64)
+        out = []
+        for s, at, end in zip(*runs(sid), strict=True):
+            n = int(size[at])
+            unshared, length = n - (end - at), n - least_overlap(n, percent) + 1
+            if unshared < length:
+                prefix = value[at:min(end, at + length - unshared)].view(np.int64)
+                out.append((s, n, np.sort(value[at:end]).tobytes(), prefix.tolist(), unshared))
+            if len(out) >= 1024:
+                yield as_batch(out, KEPT_SCHEMA)
+                out = []
+        yield as_batch(out, KEPT_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
         for b in batches:
-            rows = []
-            for sid, size, parts in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                value = np.concatenate([np.frombuffer(p["shingles"], np.uint64) for p in parts])
-                times = np.concatenate([np.full(len(p["shingles"]) // 8, COMMON_COUNT) if p["counts"] is None else
-                                        np.frombuffer(p["counts"], np.int64) for p in parts])
-                unshared, length = size - len(value), size - least_overlap(size, percent) + 1
-                if unshared < length:
-                    order = np.lexsort((value, times))
-                    prefix = value[order[:length - unshared]].view(np.int64)
-                    rows.append((sid, size, np.sort(value).tobytes(), prefix.tolist(), unshared))
-            yield as_batch(rows, KEPT_SCHEMA)
+            for part, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if part != now and held:
+                    yield from able(held)
+                    held = []
+                now = part
+                held.append(row)
+        if held:
+            yield from able(held)
 
     return run
 
@@ -249,9 +292,10 @@ def able_sets(docs: DataFrame, found: DataFrame, words: int, percent: int, bucke
     buckets = max(1, -(-(pairs or 0) // bucket_pairs))
     texts = docs.select(text_or_empty("text").cast("binary").alias("data"))
     packed = texts.mapInArrow(pack(words, buckets, common), PACK_SCHEMA)
-    shared = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answer_buckets, SHARED_SCHEMA)
-    parts = shared.groupBy("sid", "size").agg(F.collect_list(F.struct("shingles", "counts")).alias("parts"))
-    return stage(parts.mapInArrow(keep_able(percent), KEPT_SCHEMA), "jaccard-able")
+    answer = answer_buckets(buckets, ANSWER_PAIRS)
+    shared = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answer, SHARED_SCHEMA)
+    dealt = shared.repartition("part").sortWithinPartitions("part")
+    return stage(dealt.mapInArrow(keep_able(percent), KEPT_SCHEMA), "jaccard-able")
 
 
 def links(shared: int, size: int, other: int, percent: int) -> bool:
