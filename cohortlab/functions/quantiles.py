@@ -1,21 +1,30 @@
 """Exact linear-interpolated quantiles that stay bounded at any row count.
 
 Spark's exact ``percentile`` keeps a value -> count map per group and merges
-all of it into one task, so a global median over 10^11 distinct doubles does
-not fit. Here each quantile is found in two passes:
-
-1. one aggregate per group and column with ``count`` and a mergeable
-   ``percentile_approx`` sketch giving a bracket ``[lo, hi]`` around each
-   wanted probability (rank error of the sketch is ``n / accuracy``);
-2. one pass that keeps only the distinct values inside the bracket (about
-   ``6 n / accuracy`` of them) plus one "below" count per partition, then a
-   running count over those values finds the two ranks
-   ``floor(p (n-1))`` and ``ceil(p (n-1))`` exactly.
-
-The result is checked: a bracket that missed its ranks is recomputed with an
-open bracket, so results are always exact. ``method="approx"`` returns the
-sketch value directly; ``method="spark"`` uses the built-in exact
-``percentile`` (fine for small inputs).
+all of it into one task, and a merged sketch still sends one sketch per map
+task to that task. Here ranks are found by counting, in the same few steps for
+every input:
+
+1. one aggregate per column: least and largest value;
+2. ``LEVELS`` passes that count values per group and bin of the range still in
+   question (``BINS`` equal bins of ``sign(v) log(1 + |v|)``, each with its own
+   least and largest value). A running count over a group's bins, at most
+   ``BINS`` rows, shows which bins hold the wanted ranks; only those are divided
+   again;
+3. the distinct values of the last bins with their counts, and a running count
+   over each bin's values.
+
+Counts combine before every shuffle and are keyed by (group, column, bin), so
+a group or a value that holds most of the rows is spread like any other. For
+groups the distinct values of each are counted first, in one shuffle keyed by
+value; without groups no value is sent anywhere before its bin is known to
+matter. There is one row per value and column in each pass, however many
+probabilities are asked for. The tables between the passes have two rows per
+column and probability at most; for groups they are written to the shared
+folder, where Spark knows their sizes from the files and chooses the joins.
+
+``method="approx"`` returns the sketch value directly; ``method="spark"`` uses
+the built-in exact ``percentile`` (fine for small inputs).
 
 Interpolation is ``v_lo + (pos - floor(pos)) * (v_hi - v_lo)`` with
 ``pos = p (n-1)``, the definition used by pandas and SQL ``quantile_cont``.
@@ -25,12 +34,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlab.session import BROADCAST_MAX_ROWS
+from cohortlab.session import discard, staged
 
 DEFAULT_ACCURACY = 100_000
+BINS = 1 << 14
+LEVELS = 1
 
 
 def _long_values(df: DataFrame, by: list[str], columns: Sequence[str]) -> DataFrame:
@@ -44,98 +55,114 @@ def _long_values(df: DataFrame, by: list[str], columns: Sequence[str]) -> DataFr
     return out.filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-def _targets(df: DataFrame, by: list[str], columns: Sequence[str], probs: list[float],
-             accuracy: int, open_bracket: bool) -> DataFrame:
-    """(by..., column, prob, n, lo, hi): counts and sketch brackets per target."""
-    margin = 3.0 / accuracy
-    br = []
-    for p in probs:
-        br += [max(0.0, p - margin), min(1.0, p + margin)]
-    aggs = []
-    for i, c in enumerate(columns):
-        v = F.col(c).cast("double")
-        v = F.when(~F.isnan(v), v)
-        aggs.append(F.count(v).alias(f"_n{i}"))
-        if not open_bracket:
-            aggs.append(F.percentile_approx(v, br, accuracy).alias(f"_b{i}"))
-    stats = df.groupBy(*by).agg(*aggs)
-    per_col = F.array(*[
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(f"_n{i}").alias("n"),
-            (F.col(f"_b{i}") if not open_bracket
-             else F.array(*[F.lit(None).cast("double")] * (2 * len(probs)))).alias("br"),
-        )
-        for i, c in enumerate(columns)
-    ])
-    per_prob = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(p).alias("prob"))
-                         for j, p in enumerate(probs)])
-    t = stats.select(*by, F.explode(per_col).alias("_c"))
-    t = t.select(*by, "_c.column", "_c.n", "_c.br", F.explode(per_prob).alias("_p"))
-    t = t.filter(F.col("n") > 0)
-    lo = F.element_at("br", F.col("_p.j") * 2 + 1)
-    hi = F.element_at("br", F.col("_p.j") * 2 + 2)
-    return t.select(
-        *by, "column", F.col("_p.prob").alias("prob"), "n",
-        F.coalesce(lo, F.lit(float("-inf"))).alias("lo"),
-        F.coalesce(hi, F.lit(float("inf"))).alias("hi"),
-    )
-
-
-def _resolve(df: DataFrame, by: list[str], columns: Sequence[str], targets: DataFrame,
-             n_targets: int) -> DataFrame:
-    vals = _long_values(df, by, columns)
-    keys = by + ["column"]
-    tgt = F.broadcast(targets) if n_targets <= BROADCAST_MAX_ROWS else targets
-    j = vals.join(tgt, keys)
-    side = F.when(F.col("v") < F.col("lo"), 0).when(F.col("v") <= F.col("hi"), 1).otherwise(2)
-    j = j.select(*keys, "prob", "n", side.alias("side"), "v").filter(F.col("side") < 2)
-    counts = j.groupBy(*keys, "prob", "n", "side",
-                       F.when(F.col("side") == 1, F.col("v")).alias("cv")).count()
-    w = (Window.partitionBy(*keys, "prob").orderBy("side", "cv")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counts.withColumn("_end", F.sum("count").over(w) - 1)
-    ranked = ranked.withColumn("_start", F.col("_end") - F.col("count") + 1)
-    pos = F.col("prob") * (F.col("n") - 1)
-    ranked = ranked.withColumn("_fl", F.floor(pos)).withColumn("_ce", F.ceil(pos))
-    cand = F.col("side") == 1
+def _ranges(vals: DataFrame) -> DataFrame:
+    """(column, path, lo, hi) of the whole column: one row per column."""
+    return vals.groupBy("column").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).withColumn("path", F.lit(0).cast("long"))
+
+
+def _scale(v: Column) -> Column:
+    return F.signum(v) * F.log1p(F.abs(v))
+
+
+def _within(vals: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+    """Values that lie in a range of ``table``. The ranges of a group do not overlap; where
+    ``vals`` has no ``path`` yet, the bounds tell in which one a value lies."""
+    if "path" in vals.columns:
+        return vals.join(table, [*on, "path"])
+    return vals.join(table, on).filter((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+
+
+def _into_bins(vals: DataFrame, table: DataFrame, on: list[str], keys: list[str], bins: int) -> DataFrame:
+    """Values of the ranges in ``table`` with ``path`` extended by their bin there."""
+    low, high = _scale(F.col("lo")), _scale(F.col("hi"))
+    table = table.withColumns({"low": low, "per": F.coalesce(bins / F.when(high > low, high - low), F.lit(0.0))})
+    nth = F.least(F.floor((_scale(F.col("v")) - F.col("low")) * F.col("per")), F.lit(bins - 1))
+    return _within(vals, table, on).select(
+        *keys, (F.col("path") * bins + nth).cast("long").alias("path"), "v", "c", F.col("path").alias("within"))
 
-    def pick(rank):
-        return F.max(F.when(cand & (F.col("_start") <= F.col(rank)) & (F.col("_end") >= F.col(rank)),
-                            F.col("cv")))
 
-    res = ranked.groupBy(*keys, "prob", "n").agg(pick("_fl").alias("v_fl"), pick("_ce").alias("v_ce"))
-    frac = F.col("prob") * (F.col("n") - 1) - F.floor(F.col("prob") * (F.col("n") - 1))
-    value = F.when(F.col("v_fl") == F.col("v_ce"), F.col("v_fl")).otherwise(
-        F.col("v_fl") + frac * (F.col("v_ce") - F.col("v_fl")))
-    return res.select(*keys, "prob", "n", value.alias("value"),
-                      (F.col("v_fl").isNotNull() & F.col("v_ce").isNotNull()).alias("_ok"))
+def _bin_counts(inside: DataFrame, by: list[str]) -> DataFrame:
+    """Counts and bounds only: buffers of fixed size, so the aggregate is by hash."""
+    return inside.groupBy(*by).agg(F.sum("c").alias("count"), F.min("v").alias("lo"), F.max("v").alias("hi"))
 
 
-LITERAL_MAX_ROWS = 10_000
+def _with_ranks(counts: DataFrame, table: DataFrame, keys: list[str], path: str) -> DataFrame:
+    return counts.join(table.select(*keys, F.col("path").alias(path), "n", "wanted"), [*keys, path])
 
 
-def _small_or_cached(df: DataFrame, limit: int = LITERAL_MAX_ROWS) -> tuple[DataFrame, int]:
-    """Materialise a small result in one action: as a literal frame when it has at
-    most ``limit`` rows (short plans downstream), else cached and counted."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) <= limit:
-        spark = df.sparkSession
-        return spark.createDataFrame(rows, df.schema), len(rows)
-    df = df.cache()
-    return df, df.count()
+def _ranks(counts: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Adds the number ``n`` of a group's values and the ranks to find."""
+    counts = counts.withColumn("n", F.sum("count").over(Window.partitionBy(*keys)))
+    pos = [F.lit(p) * (F.col("n") - 1) for p in probs]
+    ranks = F.array_distinct(F.array(*[f(x).cast("long") for x in pos for f in (F.floor, F.ceil)]))
+    return counts.withColumn("wanted", F.transform(ranks, lambda r: F.struct(r.alias("rank"), r.alias("rest"))))
+
+
+def _wanted_here(counts: DataFrame, by: list[str], order: str) -> DataFrame:
+    """Rows of ``counts`` in which a wanted rank falls, with the ranks counted from their start."""
+    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    begun = counts.withColumn("begin", F.sum("count").over(w) - F.col("count"))
+    inside = F.filter("wanted", lambda x: (x["rest"] >= F.col("begin")) & (x["rest"] < F.col("begin") + F.col("count")))
+    moved = F.transform(inside, lambda x: F.struct(x["rank"].alias("rank"), (x["rest"] - F.col("begin")).alias("rest")))
+    return begun.withColumn("wanted", moved).filter(F.size("wanted") > 0).drop("begin")
+
+
+def _exact(df: DataFrame, by: list[str], columns: Sequence[str], probs: list[float], bins: int, levels: int) -> DataFrame:
+    keys = [*by, "column"]
+    tables = []
+
+    def between(t: DataFrame) -> DataFrame:
+        # without groups a table has two rows per column and probability at most
+        if by:
+            tables.append(staged(t, "quantile-bins"))
+            return tables[-1]
+        return F.broadcast(t)
+
+    vals = _long_values(df, by, columns)
+    if by:
+        # distinct values of each group with their counts: a group or value that most
+        # rows have is collapsed before the shuffle, the rest is spread by value
+        vals = staged(vals.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c")), "quantile-values")
+        tables.append(vals)
+    else:
+        vals = vals.withColumn("c", F.lit(1).cast("long"))
+    ranges = F.broadcast(_ranges(vals))
+    inside = _into_bins(vals, ranges, ["column"], keys, bins)
+    counts = _ranks(_bin_counts(inside, [*keys, "path"]), keys, probs)
+    table = between(_wanted_here(counts, keys, "path").select(*keys, "path", "n", "lo", "hi", "wanted"))
+    # a broadcast table finds a value's range by its bounds; where the values of groups may be
+    # shuffled, the bins found so far are part of the key, so that no group meets in one task
+    for _ in range(levels - 1):
+        vals = inside.select(*keys, "path", "v", "c") if by else vals
+        inside = _into_bins(vals, table.drop("n", "wanted"), keys, keys, bins)
+        counts = _with_ranks(_bin_counts(inside, [*keys, "within", "path"]), table, keys, "within")
+        table = between(_wanted_here(counts, [*keys, "within"], "path").select(*keys, "path", "n", "lo", "hi", "wanted"))
+    vals = inside.select(*keys, "path", "v", "c") if by else vals
+    last = _within(vals, table.drop("n", "wanted"), keys)
+    last = last.groupBy(*keys, "path", "v").agg(F.sum("c").alias("count"))
+    found = _wanted_here(_with_ranks(last, table, keys, "path"), [*keys, "path"], "v").select(*keys, "n", "v", F.explode("wanted.rank").alias("rank"))
+    # a group has two ranks per probability at most
+    ranked = found.groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
+    each = ranked.select(*keys, "n", "at", F.explode(F.array(*[F.lit(p) for p in probs])).alias("prob"))
+    pos = F.col("prob") * (F.col("n") - 1)
+    low, high = (F.element_at("at", f(pos).cast("long")) for f in (F.floor, F.ceil))
+    value = F.when(low == high, low).otherwise(low + (pos - F.floor(pos)) * (high - low))
+    out = staged(each.select(*keys, "prob", value.alias("value")), "quantiles")
+    discard(tables)
+    return out
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                   by: Sequence[str] = (), method: str = "exact",
-                   accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                   by: Sequence[str] = (), method: str = "exact", accuracy: int = DEFAULT_ACCURACY,
+                   bins: int = BINS, levels: int = LEVELS) -> DataFrame:
     """Quantiles of non-null values: one row per (by..., column, prob) with a value.
 
     Groups with a NULL key are left out (they have no group). Columns whose
-    values are all NULL give no row. Two passes over ``df`` for ``exact``.
+    values are all NULL give no row. ``exact`` reads ``df``, or for
+    groups its distinct values, ``levels + 2`` times.
     """
     by = list(by)
-    probs = [float(p) for p in probs]
+    probs = list(dict.fromkeys(float(p) for p in probs))
     base = df
     for b in by:
         base = base.filter(F.col(b).isNotNull())
@@ -151,22 +178,12 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
                          F.element_at(f"_q{i}", j + 1).alias("value"))
                 for i, c in enumerate(columns) for j, p in enumerate(probs)]
         out = agg.select(*by, F.explode(F.array(*rows)).alias("_r"))
-        out = out.select(*by, "_r.column", "_r.prob", "_r.value").filter(F.col("value").isNotNull())
-        return _small_or_cached(out)[0]
+        return out.select(*by, "_r.column", "_r.prob", "_r.value").filter(F.col("value").isNotNull())
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
-
-    targets, n_t = _small_or_cached(_targets(base, by, columns, probs, accuracy, open_bracket=False))
-    res, _ = _small_or_cached(_resolve(base, by, columns, targets, n_t))
-    missed = res.filter(~F.col("_ok")).select(*by, "column", "prob")
-    if missed.limit(1).count():
-        # The sketch bracket missed its ranks: redo those targets over all values.
-        redo = (targets.join(missed, by + ["column", "prob"])
-                .withColumn("lo", F.lit(float("-inf"))).withColumn("hi", F.lit(float("inf"))))
-        redo, n_r = _small_or_cached(redo)
-        fixed, _ = _small_or_cached(_resolve(base, by, columns, redo, n_r))
-        res = res.filter(F.col("_ok")).unionByName(fixed)
-    return res.select(*by, "column", "prob", "value")
+    if not 2 <= bins ** levels < 2 ** 62:
+        raise ValueError("the bins of all levels are numbered by a long")
+    return _exact(base, by, columns, probs, bins, levels)
 
 
 def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float],

@@ -16,12 +16,10 @@ from pyspark.sql import functions as F
 from cohortlab import schema as S
 from cohortlab.functions import exprs as X
 from cohortlab.functions.quantiles import quantile_table, quantile_values
-from cohortlab.operators.joins import join_small
+from cohortlab.operators.joins import join_lookup
 from cohortlab.operators.quality import numeric_columns
 
 FIX_PREFIX = "_fix__"
-# Group-median tables up to this size are applied as literal maps.
-MAP_LOOKUP_MAX = 10_000
 
 
 # -- C: missing values --------------------------------------------------------
@@ -41,10 +39,14 @@ def channel_medians(df: DataFrame, quantile_method: str = "exact") -> DataFrame:
     return med.select("channel", F.col("value").alias("_channel_median"))
 
 
-def fill_missing(df: DataFrame, quantile_method: str = "exact") -> tuple[DataFrame, dict]:
-    """C1-C4. Returns the filled frame and per-column fill counts (C5, > 0 only)."""
+def fill_missing(df: DataFrame, quantile_method: str = "exact", fill_target: bool = True,
+                 target: str = S.target_column(S.TARGET_DAY)) -> tuple[DataFrame, dict]:
+    """C1-C4. Returns the filled frame and per-column fill counts (C5, > 0 only).
+
+    ``fill_target=False`` leaves missing targets NULL, so that M2 drops those rows
+    instead of learning from zeros."""
     cols = df.columns
-    nums = numeric_columns(df)
+    nums = [c for c in numeric_columns(df) if fill_target or c != target]
     watch = (["campaign_id"] if "campaign_id" in cols else []) + nums
     nulls = null_counts(df, watch)
     fills: dict[str, int] = {}
@@ -54,17 +56,8 @@ def fill_missing(df: DataFrame, quantile_method: str = "exact") -> tuple[DataFra
         fills["campaign_id"] = nulls["campaign_id"]
     if nulls.get("network_cost"):
         if "channel" in cols:
-            med = channel_medians(out, quantile_method)
-            rows = med.limit(MAP_LOOKUP_MAX + 1).collect()
-            if len(rows) <= MAP_LOOKUP_MAX:
-                # small dictionary: a literal map keeps the plan a projection over the scan
-                lut = F.create_map(*[x for r in rows for x in (F.lit(r["channel"]), F.lit(r["_channel_median"]))])
-                fill = F.try_element_at(lut, F.col("channel")) if rows else F.lit(None).cast("double")
-                out = out.withColumn("network_cost", F.coalesce("network_cost", fill))
-            else:
-                out = join_small(out, med, "channel", "left")
-                out = out.withColumn("network_cost", F.coalesce("network_cost", "_channel_median"))
-                out = out.select(*cols)
+            out = join_lookup(out, channel_medians(out, quantile_method), "channel", name="channel-medians")
+            out = out.withColumn("network_cost", F.coalesce("network_cost", "_channel_median")).select(*cols)
         # global median of the column after the group fill (filled values count)
         glob = quantile_values(out, ["network_cost"], [0.5], method=quantile_method)
         if (q := glob.get(("network_cost", 0.5))) is not None:
@@ -259,9 +252,9 @@ class Cleaned:
 
 
 def clean(df: DataFrame, cap_percentile: float = S.CAP_PERCENTILE,
-          quantile_method: str = "exact") -> Cleaned:
+          quantile_method: str = "exact", fill_target: bool = True) -> Cleaned:
     """C -> T -> R -> O in the reference's order."""
-    filled, fills = fill_missing(df, quantile_method)
+    filled, fills = fill_missing(df, quantile_method, fill_target)
     flagged = repair(standardize(filled))
     repaired = drop_fix_flags(flagged)
     caps = fit_caps(repaired, cap_percentile, quantile_method)

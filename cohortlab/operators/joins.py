@@ -1,27 +1,17 @@
-"""Lookup joins of a small aggregated table back onto the big table."""
+"""Lookup joins of an aggregated table back onto the big table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from cohortlab.functions.quantiles import LITERAL_MAX_ROWS
-from cohortlab.session import BROADCAST_MAX_ROWS
+from cohortlab.session import staged
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join an aggregated lookup table, broadcasting it only when its size is known.
+def join_lookup(big: DataFrame, lookup: DataFrame, on, how: str = "left", name: str = "lookup") -> DataFrame:
+    """Join an aggregated lookup table of any size.
 
-    One action sizes it: up to ``LITERAL_MAX_ROWS`` rows it becomes a literal
-    frame (short plan) and is broadcast; up to ``max_rows`` it is cached and
-    broadcast; beyond that it is a shuffle join, where AQE splits skewed
-    partitions of hot keys on the big side.
+    The table is staged first, so Spark knows its true size: it is broadcast
+    below ``spark.sql.autoBroadcastJoinThreshold`` and shuffled beyond, where
+    skewed partitions of hot keys on the big side are split.
     """
-    rows = small.limit(LITERAL_MAX_ROWS + 1).collect()
-    if len(rows) <= LITERAL_MAX_ROWS:
-        lit = small.sparkSession.createDataFrame(rows, small.schema)
-        return big.join(F.broadcast(lit), on, how)
-    small = small.cache()
-    side = F.broadcast(small) if small.count() <= max_rows else small
-    return big.join(side, on, how)
+    return big.join(staged(lookup, name), on, how)

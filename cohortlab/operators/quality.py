@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from cohortlab import schema as S
 from cohortlab.functions.exprs import parse_day
 from cohortlab.functions.quantiles import quantile_values
-from cohortlab.session import BROADCAST_MAX_ROWS
+from cohortlab.session import discard, staged
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -32,35 +32,27 @@ def _full_row_duplicates(df: DataFrame) -> int:
     return int(row["dups"])
 
 
-def duplicate_count(df: DataFrame, method: str = "auto", max_candidates: int = BROADCAST_MAX_ROWS) -> int:
+def duplicate_count(df: DataFrame) -> int:
     """Rows that repeat an earlier row (all columns, NULLs equal); exact.
 
-    ``auto``: first only a 64-bit hash of each row is shuffled (map-side
-    combined, so a group of copies, however large, costs one row per task) and
-    the hashes seen more than once are kept. Copies always share a hash, so the
-    exact full-row count over just those candidate rows (selected by a broadcast
-    semi-join, collisions included) is the answer. Past ``max_candidates``
-    distinct repeated hashes it falls back to ``full``: one full-row ``groupBy``.
+    First only a 64-bit hash of each row is shuffled (combined before the
+    shuffle, so a group of copies, however large, is one row per task) and the
+    hashes seen more than once are staged. Copies share a hash, so the full-row
+    count over the rows with such a hash (collisions included, combined before
+    the shuffle too) is the answer at any duplicate rate.
     """
     cols = df.columns
     if not cols:
         return 0
-    if method == "full":
-        return _full_row_duplicates(df)
     # -0.0 + 0.0 = 0.0: grouping treats -0.0 and 0.0 as equal, hashing would not
     floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    h = F.xxhash64(*[F.col(c) + F.lit(0.0) if c in floats else F.col(c) for c in cols]).alias("_h")
-    cand = (df.select(h).groupBy("_h").count().filter(F.col("count") > 1).select("_h")).cache()
-    n = cand.count()
-    if n == 0:
-        cand.unpersist()
-        return 0
-    if n > max_candidates:
-        cand.unpersist()
-        return _full_row_duplicates(df)
-    sub = df.select(*cols, h).join(F.broadcast(cand), "_h", "left_semi").drop("_h")
-    out = _full_row_duplicates(sub)
-    cand.unpersist()
+    name = "row_hash"
+    while name in cols:
+        name += "_"
+    h = F.xxhash64(*[F.col(c) + F.lit(0.0) if c in floats else F.col(c) for c in cols]).alias(name)
+    repeated = staged(df.select(h).groupBy(name).count().filter(F.col("count") > 1).select(name), "repeated-hashes")
+    out = _full_row_duplicates(df.select(*cols, h).join(repeated, name, "left_semi").drop(name))
+    discard([repeated])
     return out
 
 

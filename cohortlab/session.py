@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows above which a lookup table is joined by shuffle instead of broadcast.
-BROADCAST_MAX_ROWS = 1_000_000
+_staged: dict[str, str] = {}  # of this session's staged tables: id in the path -> path
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -61,7 +61,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back.
+
+    Survives executor loss like a checkpoint, and later plans keep column
+    pruning, pushed filters and the true size of the table.
+    """
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged/{name}-{mark}"
+    df.write.parquet(path)
+    _staged[mark] = path
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(tables: list[DataFrame] | None = None) -> int:
+    """Delete staged tables that nothing reads any more (None: all of the session)."""
+    spark = SparkSession.getActiveSession()
+    marks = list(_staged) if tables is None else [m for m in _staged for t in tables if any(m in f for f in t.inputFiles())]
+    for mark in marks:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staged.pop(mark))
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return len(marks)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Stage ``df`` in the shared folder: later passes scan it instead of redoing its plan."""
+    return staged(df, "table")

@@ -10,8 +10,9 @@ import pytest
 import __spark_entry__ as E
 from cohortlab.operators import model as M
 from cohortlab.plans.flow import CohortRun, RunConfig
-from cohortlab.plans.queries import raw
+from cohortlab.plans.queries import raw, registry
 from conftest import SF_SMALL
+from oracle.queries_sql import oracle_queries
 
 ROWS_ONLY = {"gbt_predict", "gbt_cv", "gbt_importance", "metric_report", "run_summary"}
 
@@ -46,9 +47,8 @@ def test_entry_smoke(spark):
 
 
 def test_registry_has_oracles():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == ROWS_ONLY
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(registry()) - set(oracle_queries()) == ROWS_ONLY
 
 
 def _rows(pdf):

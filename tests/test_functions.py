@@ -1,5 +1,7 @@
 """Scalar expressions and the exact quantile operator."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -65,14 +67,27 @@ def test_exact_quantiles_match_numpy(spark, n, dups, seed):
     y = rng.lognormal(0, 2, n)
     df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
     probs = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0]
-    # a tiny accuracy forces wide sketch errors; results must still be exact
-    for acc in (100_000, 50):
-        q = quantile_values(df, ["x", "y"], probs, accuracy=acc)
+    # few bins leave many values for the last step; results must still be exact
+    for bins in (4096, 2):
+        q = {(r["column"], r["prob"]): r["value"] for r in quantile_table(df, ["x", "y"], probs, bins=bins).collect()}
         for p in probs:
             assert q[("x", p)] == pytest.approx(np.quantile(x, p), rel=1e-12, abs=1e-12)
             assert q[("y", p)] == pytest.approx(np.quantile(y, p), rel=1e-12, abs=1e-12)
 
 
+def test_exact_quantiles_of_hard_values(spark):
+    # far outliers, one value that most rows have, equal logarithms, NaN and NULL
+    x = [-1e300, -0.0, 0.0, 1e-300, 5.0, 5.000000000000001, 1e15, 1e15 + 0.125, 1e300] + [7.25] * 40
+    df = spark.createDataFrame([(v,) for v in x] + [(float("nan"),), (None,)], "x double")
+    probs = [i / 97 for i in range(98)]
+    for bins, levels in ((1 << 14, 1), (16, 2), (3, 1)):
+        q = {r["prob"]: r["value"] for r in quantile_table(df, ["x"], probs, bins=bins, levels=levels).collect()}
+        for p in probs:
+            v, pos = sorted(x), p * (len(x) - 1)
+            low, high = v[math.floor(pos)], v[math.ceil(pos)]
+            assert q[p] == (low if low == high else low + (pos - math.floor(pos)) * (high - low))
+
+
 def test_grouped_quantiles_skip_null_groups(spark):
     rows = [("a", float(v)) for v in range(10)] + [("b", 7.0)] + [(None, 100.0), ("c", None)]
     df = spark.createDataFrame(rows, "g string, v double")

@@ -185,13 +185,12 @@ def test_clean_summary_and_impact(spark):
 def test_duplicate_count_methods_agree(spark):
     rows = [cohort_row(installs=i % 7, campaign_id=None if i % 5 == 0 else "c") for i in range(200)]
     df = cohort_frame(spark, rows)
-    full = Q.duplicate_count(df, method="full")
+    full = df.count() - df.distinct().count()
     assert full == 200 - len({(i % 7, i % 5 == 0) for i in range(200)})
     assert Q.duplicate_count(df) == full
-    assert Q.duplicate_count(df, max_candidates=1) == full   # falls back to the full grouping
     assert Q.duplicate_count(cohort_frame(spark, [cohort_row(installs=i) for i in range(50)])) == 0
     signed = cohort_frame(spark, [cohort_row(network_cost=0.0), cohort_row(network_cost=-0.0)])
-    assert Q.duplicate_count(signed) == Q.duplicate_count(signed, method="full") == 1
+    assert Q.duplicate_count(signed) == 1
 
 
 def test_conform_casts_declared_types(spark):
