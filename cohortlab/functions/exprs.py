@@ -8,11 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlab import schema as S
 
+# Formats that a text column of days may have, month before day where both fit.
+DAY_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd", "MM/dd/yyyy",
+               "dd/MM/yyyy", "dd.MM.yyyy", "yyyyMMdd")
+
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -108,6 +113,26 @@ def parse_day(c: str | Column = "day", fmt: str = "yyyy-MM-dd") -> Column:
     return F.to_date(F.try_to_timestamp(col(c), F.lit(fmt)))
 
 
+def infer_day_format(df: DataFrame, c: str = "day", formats=DAY_FORMATS) -> str | None:
+    """The format of a text column of days: the candidate that most values have, the
+    earlier candidate on ties, None if no value has any. One mergeable aggregate, so the
+    answer does not depend on row order. Date and timestamp columns need no format."""
+    if isinstance(df.schema[c].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return None
+    counts = df.agg(*[F.count(F.try_to_timestamp(F.col(c), F.lit(f))).alias(f"f{i}") for i, f in enumerate(formats)]).first()
+    best = max(range(len(formats)), key=lambda i: (counts[i], -i))
+    return formats[best] if counts[best] else None
+
+
+def parse_day_inferred(df: DataFrame, c: str = "day", formats=DAY_FORMATS) -> Column:
+    """Coercing date parse of a date, timestamp or text column in the format it has;
+    values of another format become NULL."""
+    if isinstance(df.schema[c].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.col(c).cast("date")
+    fmt = infer_day_format(df, c, formats)
+    return parse_day(c, fmt) if fmt else F.lit(None).cast("date")
+
+
 def hash_bits(key: str | Column, salt: str) -> Column:
     """32-bit unsigned hash of ``salt|key`` as a long, from md5 (engine independent)."""
     digest = F.md5(F.concat(F.lit(f"{salt}|"), col(key).cast("string")))

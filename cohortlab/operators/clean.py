@@ -80,7 +80,7 @@ def standardize(df: DataFrame) -> DataFrame:
         "country_code": X.norm_country,
         "os_name": X.norm_os,
         "game_genre": X.title_case,
-        "day": X.parse_day,
+        "day": lambda c: X.parse_day_inferred(df, c),
     }
     return df.withColumns({c: fn(c) for c, fn in rules.items() if c in df.columns})
 

@@ -7,9 +7,12 @@ the stored ``split`` / ``fold`` columns instead of recomputing them.
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 
 from cohortlab import schema as S
 from cohortlab.functions.exprs import clip_lo, hash_bits
+from cohortlab.session import staged
 
 TWO32 = float(2 ** 32)
 
@@ -62,6 +66,48 @@ def assign_split(df: DataFrame, key: str, test_size: float = S.TEST_SIZE,
     return df.withColumn("split", split)
 
 
+def mark_smallest(df: DataFrame, key: str, salt: str, share: float, name: str) -> DataFrame:
+    """Boolean column ``name``: the ``ceil(share n)`` rows with the smallest ``(hash, key)``.
+
+    The rank is found by two histograms of the hash's 16-bit halves (65,536 rows
+    at most, combined before the shuffle); only rows that share the hash at the
+    boundary are ordered. Rows with equal keys should be equal rows.
+    """
+    spare = "hash_of_key"
+    while spare in df.columns:
+        spare += "_"
+    hashed = df.withColumn(spare, hash_bits(key, salt))
+
+    def boundary(rows: DataFrame, part, rank: int | None) -> tuple[int, int]:
+        counts = rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+        w = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ends = counts.withColumn("end", F.sum("n").over(w))
+        if rank is None:
+            total = counts.agg(F.sum("n")).first()[0] or 0
+            rank = math.ceil(share * total)
+        row = ends.filter(F.col("end") >= rank).orderBy("part").first()
+        return (row["part"], rank - (row["end"] - row["n"])) if row and rank else (-1, 0)
+
+    high, rest = boundary(hashed, F.shiftright(F.col(spare), 16), None)
+    low, rest = boundary(hashed.filter(F.shiftright(F.col(spare), 16) == high), F.col(spare).bitwiseAND(0xFFFF), rest)
+    edge = (high << 16) + low if high >= 0 else -1
+    sure = hashed.filter(F.col(spare) != edge).withColumn(name, F.col(spare) < edge)
+    nth = F.row_number().over(Window.orderBy(key))
+    near = hashed.filter(F.col(spare) == edge).withColumn(name, nth <= rest)
+    return sure.unionByName(near).drop(spare)
+
+
+def assign_split_exact(df: DataFrame, key: str, test_size: float = S.TEST_SIZE,
+                       val_size: float = S.VAL_SIZE, seed: int = S.RANDOM_STATE) -> DataFrame:
+    """``split`` with exactly ``ceil(test_size n)`` test rows and ``ceil(val_size m)``
+    of the other ``m`` rows for validation, whatever the partitioning."""
+    marked = mark_smallest(df, key, f"{seed}", test_size, "is_test")
+    rest = mark_smallest(marked.filter(~F.col("is_test")), key, f"{seed}|val", val_size, "is_val")
+    test = marked.filter("is_test").withColumn("is_val", F.lit(False))
+    split = F.when(F.col("is_test"), "test").when(F.col("is_val"), "val").otherwise("train")
+    return test.unionByName(rest).withColumn("split", split).drop("is_test", "is_val")
+
+
 def assign_fold(df: DataFrame, key: str, k: int = S.CV_FOLDS, seed: int = S.RANDOM_STATE) -> DataFrame:
     return df.withColumn("fold", F.pmod(hash_bits(key, f"{seed}|fold"), F.lit(k)).cast("int"))
 
@@ -91,6 +137,32 @@ def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction"
         .alias("total_error_pct"))
 
 
+METRICS = ["mae", "rmse", "r2", "mape", "total_actual", "total_predicted", "total_error_pct"]
+CV_METRICS = ["rmse_mean", "rmse_std", "r2_mean", "r2_std"]
+
+
+def metric_report(scored: DataFrame, per_fold: DataFrame | None, n_features: int, label: str = "label") -> DataFrame:
+    """M10: (section, metric, value) with train, test, cv and data sections.
+
+    ``scored`` has ``split``, ``label`` and ``prediction``; ``per_fold`` the metrics of
+    the out-of-fold predictions. One aggregate over each."""
+    def rows(df: DataFrame, names: list[str]) -> DataFrame:
+        items = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in names])
+        return df.select("section", F.explode(items).alias("_m")).select("section", "_m.metric", "_m.value")
+
+    by_split = evaluate(scored, label, "prediction", by=["split"])
+    counts = by_split.groupBy().agg(
+        F.sum("n").alias("total_samples"),
+        *[F.coalesce(F.sum(F.when(F.col("split") == s, F.col("n"))), F.lit(0)).alias(f"{s}_samples") for s in ("train", "val", "test")],
+        F.lit(n_features).alias("n_features"))
+    parts = [rows(by_split.filter(F.col("split").isin("train", "test")).withColumnRenamed("split", "section"), METRICS),
+             rows(counts.withColumn("section", F.lit("data")),
+                  ["total_samples", "train_samples", "val_samples", "test_samples", "n_features"])]
+    if per_fold is not None:
+        parts.append(rows(cv_summary(per_fold).withColumn("section", F.lit("cv")), CV_METRICS))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def cv_summary(per_fold: DataFrame) -> DataFrame:
     """M8 summary: mean and population std over folds of RMSE and R2."""
     return per_fold.agg(F.avg("rmse").alias("rmse_mean"), F.stddev_pop("rmse").alias("rmse_std"),
@@ -112,6 +184,7 @@ class GBTConfig:
     # much deeper trees, so it is off by default.
     checkpoint_interval: int = 10
     cache_node_ids: bool = False
+    rows_per_task: int = 20_000
 
     def estimator(self, n_trees: int | None = None) -> GBTRegressor:
         return GBTRegressor(featuresCol="features", labelCol="label", predictionCol="prediction",
@@ -156,20 +229,36 @@ class Fitted:
                                      "feature string, importance double")
 
 
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The ensemble of the first ``n`` trees of ``model`` with their weights."""
+    old = model._java_obj
+    sc = SparkContext._active_spark_context
+    trees, weights = old.trees(), list(old.treeWeights())
+    kept = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    scales = sc._gateway.new_array(sc._gateway.jvm.double, n)
+    for i in range(n):
+        kept[i], scales[i] = trees[i], weights[i]
+    cut = sc._jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"{model.uid}_{n}", kept, scales, old.numFeatures())
+    out = GBTRegressionModel(cut)
+    return out.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
 def fit_gbt(train: DataFrame, features, target: str, cfg: GBTConfig | None = None,
             val: DataFrame | None = None) -> Fitted:
-    """Fit; with ``val`` keep the tree count that early stopping would keep."""
+    """Fit once; with ``val`` keep the trees that early stopping would keep. Boosting
+    adds trees one by one, so they are the first ones of the fitted ensemble."""
     cfg = cfg or GBTConfig()
-    data = assemble(train, features, target).select("features", "label").cache()
+    data = assemble(train, features, target).select("features", "label")
+    # tree growing is many short passes: as many partitions as the rows fill
+    data = data.coalesce(max(1, -(-train.count() // cfg.rows_per_task))).cache()
     model = cfg.estimator().fit(data)
     n, errs = cfg.n_estimators, []
     if val is not None:
         vdata = assemble(val, features, target).select("features", "label")
         errs = [float(e) for e in model.evaluateEachIteration(vdata, "squared")]
         n = best_iteration(errs, cfg.early_stopping_rounds)
-        if n < cfg.n_estimators:
-            # same seed, no subsampling: the first n trees are refitted identically
-            model = cfg.estimator(n).fit(data)
+        if n < len(errs):
+            model = first_trees(model, n)
     data.unpersist()
     return Fitted(model=model, features=list(features), n_trees=n, val_errors=errs)
 
@@ -193,7 +282,7 @@ def cross_validate(df: DataFrame, features, target: str, cfg: GBTConfig | None =
     oof = preds[0]
     for p in preds[1:]:
         oof = oof.unionByName(p)
-    per_fold = evaluate(oof, "label", "prediction", by=["fold"]).cache()
+    per_fold = evaluate(staged(oof, "out-of-fold"), "label", "prediction", by=["fold"])
     return per_fold, cv_summary(per_fold)
 
 

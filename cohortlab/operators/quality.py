@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlab import schema as S
-from cohortlab.functions.exprs import parse_day
+from cohortlab.functions.exprs import parse_day_inferred
 from cohortlab.functions.quantiles import quantile_values
 from cohortlab.session import discard, staged
 
@@ -79,7 +79,7 @@ def profile(df: DataFrame, categorical=S.CATEGORICAL_COLS, key_metrics=S.KEY_MET
     aggs = [F.count(F.lit(1)).alias("_rows")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(cols)]
     if "day" in cols:
-        d = parse_day("day")
+        d = parse_day_inferred(df, "day")
         aggs += [F.min(d).alias("_dmin"), F.max(d).alias("_dmax")]
     for i, c in enumerate(cats):
         aggs.append((F.approx_count_distinct(c) if approx_distinct else F.countDistinct(c))
@@ -190,7 +190,7 @@ def impact_frame(raw: DataFrame, processed: DataFrame, categorical=S.CATEGORICAL
     def side(df: DataFrame, parsed_day: bool) -> dict:
         aggs = []
         if "day" in df.columns:
-            d = F.col("day").cast("date") if parsed_day else parse_day("day")
+            d = F.col("day").cast("date") if parsed_day else parse_day_inferred(df, "day")
             aggs.append(F.datediff(F.max(d), F.min(d)).alias("day|span_days"))
         aggs += [F.countDistinct(c).alias(f"{c}|n_distinct") for c in categorical if c in df.columns]
         for c in key_metrics:

@@ -8,19 +8,22 @@ The SQL twins live in ``oracle/queries_sql.py`` with the same names and columns.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlab import schema as S
+from cohortlab.functions import exprs as X
 from cohortlab.operators import clean as C
 from cohortlab.operators import drift as D
 from cohortlab.operators import features as FE
 from cohortlab.operators import model as M
 from cohortlab.operators import quality as Q
-from cohortlab.session import cut_lineage
+from cohortlab.session import cut_lineage, ensure_checkpoint_dir, staged
 from cohortlab.sources.adapter import cohorts_from_orders
 
 DRIFT_SPLIT_DAY = "1998-04-17"
@@ -180,6 +183,20 @@ def parse_day(spark, sf):
                    F.date_format(F.max("day"), "yyyy-MM-dd").alias("max_day"))
 
 
+def parse_day_inferred(spark, sf):
+    """T-8 on days in another format, as dates and as timestamps."""
+    df = raw(spark, sf).select("k", "day", F.col("day").alias("iso"))
+    good = F.to_date(F.try_to_timestamp("day", F.lit("yyyy-MM-dd")))
+    df = staged(df.select("k", F.coalesce(F.date_format(good, "dd.MM.yyyy"), "day").alias("dotted"),
+                          F.date_format(good, "yyyy-MM-dd HH:mm:ss").alias("with_time"), good.alias("as_date"),
+                          F.to_timestamp(good).alias("as_timestamp")), "days")
+    days = df.select("k", *[X.parse_day_inferred(df, c).alias(c) for c in ("dotted", "with_time", "as_date", "as_timestamp")])
+    parts = [days.agg(F.lit(c).alias("form"), F.count(c).alias("parsed"), F.count_if(F.col(c).isNull()).alias("invalid"),
+                      F.date_format(F.min(c), "yyyy-MM-dd").alias("min_day"), F.date_format(F.max(c), "yyyy-MM-dd").alias("max_day"))
+             for c in days.columns[1:]]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def norm_distinct(spark, sf):
     return C.distinct_after(C.standardize(filled(spark, sf)[0]))
 
@@ -369,7 +386,29 @@ def predictions_union(spark, sf):
     return rounded(train.unionByName(test))
 
 
-SMALL_GBT = M.GBTConfig(n_estimators=10, max_depth=4, early_stopping_rounds=3, checkpoint_interval=5)
+def split_exact(spark, sf):
+    df = M.prepare_target(cleaned(spark, sf).frame, "revenue_d90")
+    return M.assign_split_exact(df, "k").select("k", "split")
+
+
+def metric_report_naive(spark, sf):
+    """The metric report of the naive prediction; its data section has the 59 features."""
+    df = staged(_split_frame(spark, sf), "naive")
+    per_fold = M.evaluate(df, "revenue_d90", "prediction", by=["fold"])
+    return rounded(M.metric_report(df, per_fold, 59, label="revenue_d90"))
+
+
+def run_counts(spark, sf):
+    """The run on the plain 27 columns as far as its split: rows, features and split sizes."""
+    from cohortlab.plans.flow import CohortRun, RunConfig
+    run = CohortRun(spark, None, RunConfig(impact_report=False))
+    run.ingest(raw(spark, sf, key=False))
+    run.preprocess()
+    frame = run.engineer()
+    data = run.split(M.prepare_target(frame, run.target))
+    n = len(M.leakage_filter(run.state.featured.features))
+    return data.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(run.key).alias("row_keys"), F.lit(n).cast("long").alias("n_features"),
+                    *[F.count_if(F.col("split") == s).alias(f"{s}_rows") for s in ("train", "val", "test")])
 
 
 def _gbt_data(spark, sf):
@@ -382,33 +421,28 @@ def _gbt_data(spark, sf):
 
 def gbt_predict(spark, sf):
     df, feats = _gbt_data(spark, sf)
-    fit = M.fit_gbt(df.filter(F.col("split") == "train"), feats, "revenue_d90", SMALL_GBT,
-                    val=df.filter(F.col("split") == "val"))
+    fit = M.fit_gbt(df.filter(F.col("split") == "train"), feats, "revenue_d90", val=df.filter(F.col("split") == "val"))
     pred = fit.predict(df, "revenue_d90")
     return M.evaluate(pred, "revenue_d90", "prediction", by=["split"])
 
 
 def gbt_cv(spark, sf):
     df, feats = _gbt_data(spark, sf)
-    per_fold, summ = M.cross_validate(df, feats, "revenue_d90", SMALL_GBT, parallelism=2)
+    per_fold, summ = M.cross_validate(df, feats, "revenue_d90", parallelism=S.CV_FOLDS)
     return summ
 
 
 def gbt_importance(spark, sf):
     df, feats = _gbt_data(spark, sf)
-    fit = M.fit_gbt(df.filter(F.col("split") != "test"), feats, "revenue_d90", SMALL_GBT)
+    fit = M.fit_gbt(df.filter(F.col("split") != "test"), feats, "revenue_d90")
     return M.importance_top(fit.importance(spark), 10)
 
 
 def metric_report(spark, sf):
     df, feats = _gbt_data(spark, sf)
-    fit = M.fit_gbt(df.filter(F.col("split") == "train"), feats, "revenue_d90", SMALL_GBT,
-                    val=df.filter(F.col("split") == "val"))
-    pred = fit.predict(df, "revenue_d90")
-    ev = M.evaluate(pred, "revenue_d90", "prediction", by=["split"])
-    metrics = ["n", "mae", "rmse", "r2", "mape", "total_actual", "total_predicted", "total_error_pct"]
-    items = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
-    return ev.select("split", F.explode(items).alias("_m")).select("split", "_m.metric", "_m.value")
+    fit = M.fit_gbt(df.filter(F.col("split") == "train"), feats, "revenue_d90", val=df.filter(F.col("split") == "val"))
+    per_fold, _ = M.cross_validate(df, feats, "revenue_d90", parallelism=S.CV_FOLDS)
+    return M.metric_report(staged(fit.predict(df, "revenue_d90"), "scored"), per_fold, len(feats))
 
 
 # -- D: drift ------------------------------------------------------------------------
@@ -510,8 +544,9 @@ def drift_alerts(spark, sf):
 
 def run_summary(spark, sf):
     from cohortlab.plans.flow import CohortRun, RunConfig
-    run = CohortRun(spark, None, RunConfig(gbt=SMALL_GBT, run_cv=False))
-    s = run.run_all(raw(spark, sf))
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/runs/{uuid.uuid4().hex}"
+    run = CohortRun(spark, out, RunConfig(cv_parallelism=S.CV_FOLDS))
+    s = run.run_all(raw(spark, sf, key=False))
     return spark.createDataFrame([(s["raw_records"], s["n_features"], float(s["model_r2"]),
                                    float(s["model_rmse"]), s["model_trained"], s["monitoring_setup"])],
                                  "raw_records long, n_features long, model_r2 double, model_rmse double, "
@@ -549,7 +584,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q.update({
         "enc_frequency": enc_frequency, "enc_common": enc_common, "enc_flags": enc_flags,
         "score_early": score_early, "score_quality": score_quality, "feature_clean": feature_clean,
-        "split_assign": split_assign, "fold_assign": fold_assign, "label_encode": label_encode,
+        "split_exact": split_exact, "metric_report_naive": metric_report_naive, "run_counts": run_counts,
+        "parse_day_inferred": parse_day_inferred, "split_assign": split_assign, "fold_assign": fold_assign, "label_encode": label_encode,
         "eval_metrics": eval_metrics, "cv_metrics": cv_metrics, "cv_summary": cv_summary,
         "export_frame": export_frame, "predictions_union": predictions_union,
         "base_numeric": base_numeric, "base_categorical": base_categorical,

@@ -366,6 +366,10 @@ def _q_clean() -> dict:
     sc = fc + [std_cte()]
     q["parse_day"] = sql(sc, "SELECT count(day) AS parsed, count_if(day IS NULL) AS invalid, "
                              "strftime(min(day), '%Y-%m-%d') AS min_day, strftime(max(day), '%Y-%m-%d') AS max_day FROM std")
+    forms = {"dotted": "day", "with_time": "day", "as_date": "day", "as_timestamp": "day"}
+    q["parse_day_inferred"] = sql(sc, union_all(
+        f"SELECT '{f}' AS form, count({c}) AS parsed, count_if({c} IS NULL) AS invalid, "
+        f"strftime(min({c}), '%Y-%m-%d') AS min_day, strftime(max({c}), '%Y-%m-%d') AS max_day FROM std" for f, c in forms.items()))
     q["norm_distinct"] = sql(sc, union_all(
         f"SELECT '{f}' AS field, count(DISTINCT {c}) AS n_distinct FROM std"
         for f, c in (("channels", "channel"), ("countries", "country_code"), ("genres", "game_genre"), ("os", "os_name"))))
@@ -476,6 +480,27 @@ def _q_model() -> dict:
     sp = split_ctes()
     q["split_assign"] = sql(sp, "SELECT split, count(*) AS rows, round(sum(revenue_d90), 4) AS target_sum FROM sp GROUP BY split")
     q["fold_assign"] = sql(sp, "SELECT fold, count(*) AS rows FROM sp GROUP BY fold")
+    ranked = ("rk AS (SELECT k, row_number() OVER (ORDER BY {h}, k) AS nth, count(*) OVER () AS n FROM tgt)",
+              "vk AS (SELECT k, row_number() OVER (ORDER BY {hv}, k) AS nth, count(*) OVER () AS n FROM rk WHERE nth > ceil(CAST(0.2 AS DOUBLE) * n))")
+    ranked = [r.format(h=hash_bits("k", "42"), hv=hash_bits("k", "42|val")) for r in ranked]
+    q["split_exact"] = sql(sp[:-1], *ranked,
+                           "SELECT k, 'test' AS split FROM rk WHERE nth <= ceil(CAST(0.2 AS DOUBLE) * n) UNION ALL "
+                           "SELECT k, CASE WHEN nth <= ceil(CAST(0.2 AS DOUBLE) * n) THEN 'val' ELSE 'train' END AS split FROM vk")
+    q["run_counts"] = sql(sp[:-1], "c AS (SELECT count(*) AS n, CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS t FROM tgt)",
+                          "d AS (SELECT n, t, CAST(ceil(CAST(0.2 AS DOUBLE) * (n - t)) AS BIGINT) AS v FROM c)",
+                          "SELECT n AS rows, n AS row_keys, CAST(59 AS BIGINT) AS n_features, n - t - v AS train_rows, v AS val_rows, t AS test_rows FROM d")
+    names = ("mae", "rmse", "r2", "mape", "total_actual", "total_predicted", "total_error_pct")
+    cv = ("rmse_mean", "rmse_std", "r2_mean", "r2_std")
+    q["metric_report_naive"] = sql(
+        sp, f"bs AS ({metrics_sql('split')})", f"pf AS ({metrics_sql('fold', rnd=False)})",
+        "cv AS (SELECT round(avg(rmse), 4) AS rmse_mean, round(stddev_pop(rmse), 4) AS rmse_std, "
+        "round(avg(r2), 4) AS r2_mean, round(stddev_pop(r2), 4) AS r2_std FROM pf)",
+        union_all([f"SELECT split AS section, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM bs WHERE split IN ('train', 'test')" for m in names]
+                  + [f"SELECT 'cv' AS section, '{m}' AS metric, {m} AS value FROM cv" for m in cv]
+                  + ["SELECT 'data' AS section, 'total_samples' AS metric, CAST(count(*) AS DOUBLE) AS value FROM sp",
+                     "SELECT 'data' AS section, 'n_features' AS metric, CAST(59 AS DOUBLE) AS value"]
+                  + [f"SELECT 'data' AS section, '{x}_samples' AS metric, CAST(count(*) AS DOUBLE) AS value FROM sp WHERE split = '{x}'"
+                     for x in ("train", "val", "test")]))
     q["label_encode"] = sql(clean_ctes(),
                             "lv AS (SELECT COALESCE(channel, 'unknown') AS v, channel AS raw_channel FROM capped)",
                             "codes AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS BIGINT) AS code FROM (SELECT DISTINCT v FROM lv))",
