@@ -184,7 +184,7 @@ class GBTConfig:
     # much deeper trees, so it is off by default.
     checkpoint_interval: int = 10
     cache_node_ids: bool = False
-    rows_per_task: int = 20_000
+    rows_per_task: int = 5_000
 
     def estimator(self, n_trees: int | None = None) -> GBTRegressor:
         return GBTRegressor(featuresCol="features", labelCol="label", predictionCol="prediction",

