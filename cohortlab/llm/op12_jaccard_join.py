@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -46,8 +47,9 @@ WORDS, PERCENT = 3, 90
 BUCKET_PAIRS = 1 << 21  # (shingle, set) pairs that one task sorts at a time
 COMMON_ONE_IN = 1000  # a shingle in this part of the texts or more is common
 COMMON_COUNT = (1 << 32) - 1  # stands for a common shingle's number of sets
-ANSWER_PAIRS = 1 << 21  # pairs that a task gathers over its buckets before it packs them by set
+ANSWER_PAIRS = 1 << 19  # pairs that a task gathers over its buckets before it packs them by set
 SET_BUCKETS = 1 << 40  # of common shingles, by set
+CHUNK_BYTES = 1 << 24  # of texts that a task holds as sets at a time, one text at least
 BLOCK = 256  # entries of an index list in a block
 MIX = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
 MEMBER_SCHEMA = "doc_id long, sid long, size long, shingle long, times long"
@@ -78,12 +80,24 @@ def set_id(hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
 
 
+def chunks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with up to CHUNK_BYTES in the text column."""
+    for b in batches:
+        ends = np.cumsum(pc.binary_length(b.column(text)).to_numpy().astype(np.int64))
+        at = 0
+        while at < b.num_rows:
+            begun = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, begun + CHUNK_BYTES, "right")))
+            yield b.slice(at, end - at)
+            at = end
+
+
 def member_rows(words: int, one_in: int):
     """Task over (doc_id, data): a row per document, and each chunk's common shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingle_hashes(d, words) for d in b.column(1).to_pylist()]
+        for b in chunks(batches, 1):
+            sets = [shingle_hashes(d.as_py(), words) for d in b.column(1)]
             n = len(sets)
             sids = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
             sizes = pa.array([len(s) for s in sets], pa.int64())
@@ -106,10 +120,10 @@ def pack(words: int, buckets: int, common: np.ndarray):
     bucket are in order and agree in the highest ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chunks(batches, 0):
             sets = {}
-            for d in b.column(0).to_pylist():
-                s = shingle_hashes(d, words)
+            for d in b.column(0):
+                s = shingle_hashes(d.as_py(), words)
                 if len(s):
                     sets.setdefault(set_id(s), s)
             if not sets:
@@ -163,10 +177,11 @@ def scaled(values: np.ndarray, parts: int) -> np.ndarray:
 def shared_pairs(value: np.ndarray, sid: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
     """The pairs, once, whose shingle another set has, with its number of sets."""
     order = np.argsort(value, kind="stable")
-    value, sid, size = value[order], sid[order], size[order]
+    value = value[order]
     same = value[1:] == value[:-1]
     more = np.append(same, False) | np.append(False, same)
-    value, sid, size = value[more], sid[more], size[more]
+    order = order[more]
+    value, sid, size = value[more], sid[order], size[order]
     order = np.lexsort((sid, value))
     value, sid, size = value[order], sid[order], size[order]
     once = np.append(True, (value[1:] != value[:-1]) | (sid[1:] != sid[:-1]))[:len(value)]
@@ -211,7 +226,8 @@ def answer_buckets(parts: int, most: int):
             return as_batch(rows, SHARED_SCHEMA)
 
         for b in batches:
-            for bucket, n, shingles, owners, sids, sizes in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for row in zip(*b.columns, strict=True):
+                bucket, n, shingles, owners, sids, sizes = (x.as_py() for x in row)
                 if bucket != now:
                     close()
                     now = bucket
@@ -263,7 +279,8 @@ def keep_able(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for b in batches:
-            for part, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for part, *row in zip(*b.columns, strict=True):
+                part, row = part.as_py(), [x.as_py() for x in row]
                 if part != now and held:
                     yield from able(held)
                     held = []
