@@ -16,6 +16,7 @@ an empty result; texts are encoded whole.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import struct
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ from cohortlab.llm.common import table, text_or_empty
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 THREADS = 2
 MODEL_MAX_BYTES = 64 << 20
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 2 << 20
 WORD_TABLE = 800_000
 # Fixed values of the model format: marker of a space, piece types, model types.
 MARK = "▁"
@@ -228,6 +229,19 @@ class Codec:
         return self.tok.decode_batch(ids, skip_special_tokens=False)
 
 
+_codec: dict[tuple, Codec] = {}
+
+
+def worker_codec(data: bytes, threads: int) -> Codec:
+    """The codec of a Python worker: built by its first task, used again by the next ones. A
+    worker holds one model at a time."""
+    key = (hashlib.sha256(data).digest(), threads)
+    if key not in _codec:
+        _codec.clear()
+        _codec[key] = Codec(data, threads)
+    return _codec[key]
+
+
 OUT = "n_bytes long, n_tokens long, n_byte_tokens long, ids array<int>, ids_crc32 long, round_trip boolean, parity boolean"
 
 
@@ -258,7 +272,7 @@ def encode(docs: DataFrame, model: str | bytes = MODEL_PATH, threads: int = THRE
             yield batch.column(0).slice(begin), texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value, threads)
+        codec = worker_codec(shared.value, threads)
         low = next((i for i, p in enumerate(codec.model["pieces"]) if p[2] == BYTE), -1)
         for batch in batches:
             for doc_ids, texts in groups(batch):
