@@ -33,6 +33,7 @@ from cohortlab.llm.common import WORD_SPLIT, ascii_lower, keep_rows, stage, tabl
 WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 31
+SLOTS = 1 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -103,6 +104,15 @@ def cut_windows(hits: DataFrame, words: int, similarity: float) -> DataFrame:
             .select("doc_id", "text_hash", "item", "start", "stop"))
 
 
+def may_hold(text: DataFrame, doc_id: str, text_hash: str, windows: DataFrame) -> DataFrame:
+    """The rows of ``text`` that share a slot with a document of ``windows``. There are ``SLOTS``
+    slots, so the table sent to every task has a bound; a row that shares one by chance goes in
+    the exact join behind. Only texts that are left are shuffled, whole."""
+    slot = lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(SLOTS))
+    taken = windows.select(slot("doc_id", "text_hash").alias("_slot")).distinct()
+    return text.join(F.broadcast(taken), slot(doc_id, text_hash) == F.col("_slot"), "left_semi")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
             radius: int = RADIUS) -> DataFrame:
     """``doc_id, text_hash, item_id, start, distance, similarity``: every window (start in words)
@@ -129,9 +139,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, similarit
     windows = stage(found, "decon-windows")
     spots = windows.select("doc_id", "text_hash", "start", "stop").distinct()
     held = spots.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "stop")).alias("spots"))
-    text = source.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    cut = (text.join(held, text["_id"].eqNullSafe(held["doc_id"]) & (text["_hash"] == held["text_hash"]))
-           .select("doc_id", "text_hash", "w", F.explode("spots").alias("s"))
+    text = docs.select(F.col("doc_id").alias("_id"), text_or_empty("text").alias("text")).withColumn("_hash", F.xxhash64("text"))
+    text = may_hold(text, "_id", "_hash", windows)
+    cut = (text.join(held.hint("merge"), text["_id"].eqNullSafe(held["doc_id"]) & (text["_hash"] == held["text_hash"]))
+           .select("doc_id", "text_hash", words_of(F.col("text")).alias("w"), F.explode("spots").alias("s"))
            .select("doc_id", "text_hash", "s.start", "s.stop", shingles_of(F.slice("w", F.col("s.start") + 1, F.col("s.stop") - F.col("s.start")), words).alias("sh")))
     # windows of the same words are judged once
     cut = stage(cut.withColumn("window", F.xxhash64("sh")), "decon-cut")
