@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import os
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -141,8 +142,9 @@ def build_tokenizer(model: dict):
         tok.normalizer = normalizers.Sequence(steps)
     if words_apart(pieces) and model["escape"] and model["type"] == BPE:
         tok.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*"), "isolated")
-    back = [decoders.Replace(MARK, " ")] if model["escape"] else []
-    back += [decoders.ByteFallback(), decoders.Fuse()]
+    back = [decoders.ByteFallback(), decoders.Fuse()]
+    if model["escape"]:  # on the joined text; encoding never spells the marker by byte pieces
+        back.append(decoders.Replace(MARK, " "))
     if model["prefix"]:
         back.append(decoders.Strip(" ", 1, 0))
     tok.decoder = decoders.Sequence(back)
@@ -180,9 +182,9 @@ class Codec:
 
     def judged(self, texts: list[str], ids: list[bytes]) -> list[tuple[bytes, bool, bool]]:
         """Ids as bytes, round trip and parity of whole texts."""
-        back = self.decode([np.frombuffer(i, np.int32).tolist() for i in ids])
+        back = self.decode([array("i", i).tolist() for i in ids])
         said = self.library.encode(texts, num_threads=self.threads)
-        return [(i, b == t, i == np.asarray(r, np.int32).tobytes()) for i, b, t, r in zip(ids, back, texts, said, strict=True)]
+        return [(i, b == t, i == array("i", r).tobytes()) for i, b, t, r in zip(ids, back, texts, said, strict=True)]
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids of texts taken whole."""
@@ -209,18 +211,24 @@ class Codec:
         if whole:
             for i, found in zip(whole, self.whole([texts[i] for i in whole]), strict=True):
                 out[i] = found
-        left = set(range(len(texts))).difference(whole)
-        split = {i: texts[i].split(" ") for i in left if texts[i]}
-        wanted = set().union(*split.values())
-        new = wanted.difference(self.words)
+        table, taken = self.words, set(whole)
+        gaps = {}
+        for i, text in enumerate(texts):
+            if text and i not in taken:
+                words = text.split(" ")
+                found = list(map(table.get, words))
+                if None in found:
+                    gaps[i] = words, found
+                else:
+                    out[i] = b"".join(found)
+        new = {w for words, found in gaps.values() for w, f in zip(words, found, strict=True) if f is None}
         again = new.intersection(self.older)
-        self.words.update((w, self.older[w]) for w in again)
+        table.update((w, self.older[w]) for w in again)
         new -= again
         if new:
             self.learn(sorted(new))
-        table = self.words
-        for i, words in split.items():
-            out[i] = b"".join([table[w] for w in words])
+        for i, (words, found) in gaps.items():
+            out[i] = b"".join([table[w] if f is None else f for w, f in zip(words, found, strict=True)])
         if len(table) > self.word_table // 2:  # words that were not met again go with the older half
             self.older, self.words = table, {}
         return self.judged(texts, out)
