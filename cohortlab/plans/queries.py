@@ -114,6 +114,11 @@ def quality_issues(spark, sf):
     return rounded(Q.issues_frame(spark, _profile(spark, sf), **STRICT_GATE))
 
 
+def quality_warnings(spark, sf):
+    found = Q.soft_issues(_profile(spark, sf), STRICT_GATE["min_records"], STRICT_GATE["max_duplicate_rate"])
+    return rounded(spark.createDataFrame(found, Q.ISSUE_SCHEMA))
+
+
 def impact_report(spark, sf):
     r = raw(spark, sf, key=False)
     return rounded(Q.impact_frame(r, C.clean(r).frame))
@@ -540,6 +545,11 @@ def drift_categorical(spark, sf):
     return rounded(_arrays_as_text(D.categorical_drift(b, cur, DRIFT_CATEGORICAL)))
 
 
+def drift_category_changes(spark, sf):
+    b, cur = _baseline(spark, sf)
+    return D.category_changes(b, cur, DRIFT_CATEGORICAL)
+
+
 def drift_target(spark, sf):
     b, cur = _baseline(spark, sf)
     return rounded(D.target_drift(b, cur))
@@ -588,7 +598,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_counts": quality_counts, "quality_duplicates": quality_duplicates,
         "quality_missing": quality_missing, "quality_dates": quality_dates,
         "quality_distinct": quality_distinct, "quality_numeric": quality_numeric,
-        "quality_issues": quality_issues, "impact_report": impact_report,
+        "quality_issues": quality_issues, "quality_warnings": quality_warnings, "impact_report": impact_report,
         "fill_constant": fill_constant, "fill_group_median": fill_group_median,
         "fill_network_cost": fill_network_cost, "fill_zero": fill_zero, "fill_counts": fill_counts,
         "norm_channel": norm_channel, "norm_country": norm_country, "norm_os": norm_os,
@@ -611,6 +621,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hist_quantile": hist_quantile, "hist_uniform": hist_uniform, "psi_numeric": psi_numeric,
         "psi_categorical": psi_categorical, "ks_two_sample": ks_two_sample,
         "drift_numeric": drift_numeric, "drift_categorical": drift_categorical,
+        "drift_category_changes": drift_category_changes,
         "drift_target": drift_target, "drift_summary": drift_summary, "drift_alerts": drift_alerts,
         "gbt_predict": gbt_predict, "gbt_cv": gbt_cv, "gbt_importance": gbt_importance,
         "metric_report": metric_report, "run_summary": run_summary,

@@ -326,6 +326,7 @@ def _q_quality() -> dict:
         "SELECT 'error', 'duplicate_rate', NULL, round(sum(c - 1) / sum(c), 4), 0.01::DOUBLE FROM dups "
         "HAVING sum(c - 1) / sum(c) > 0.01",
     ]
+    q["quality_warnings"] = sql(RAW, dup, union_all(p.replace("'error'", "'warn'") for p in parts))
     parts += [f"SELECT 'error', 'missing_rate', '{c}', round(count_if({c} IS NULL) / count(*), 4), 0.012::DOUBLE "
               f"FROM raw HAVING count_if({c} IS NULL) / count(*) > 0.012" for c in cols27]
     q["quality_issues"] = sql(RAW, dup, union_all(parts))
@@ -633,6 +634,12 @@ def _q_drift() -> dict:
     q["drift_categorical"] = sql(dc, p_cat, cd,
                                  f"SELECT \"column\", round(psi, 4) AS psi, {csev} AS severity, ({csev}) <> 'none' AS drift_detected, "
                                  f"new_categories, missing_categories FROM cd")
+    top = "(SELECT * FROM cs_b WHERE rank <= 10)"
+    q["drift_category_changes"] = sql(dc, (
+        f"SELECT \"column\", value, 'new' AS kind, count FROM cs_c c WHERE \"column\" IN (SELECT \"column\" FROM cs_b) AND NOT EXISTS "
+        f"(SELECT 1 FROM {top} b WHERE b.\"column\" = c.\"column\" AND b.value = c.value) UNION ALL "
+        f"SELECT \"column\", value, 'missing', count FROM {top} b WHERE \"column\" IN (SELECT \"column\" FROM cs_c) AND NOT EXISTS "
+        f"(SELECT 1 FROM cs_c c WHERE b.\"column\" = c.\"column\" AND b.value = c.value)"))
     q["drift_target"] = sql(dc, p_base, nd, "SELECT round(psi, 4) AS psi, round(mean_shift, 4) AS mean_shift, "
                                             "psi > 0.2 AS drift_detected FROM nd WHERE \"column\" = 'revenue_d90'")
     feats = (f"feats AS (SELECT \"column\", psi, {sev} AS severity FROM nd WHERE {num_filter} "
