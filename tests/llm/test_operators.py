@@ -1,6 +1,7 @@
 """Training-data operators against brute force, and the defined results of odd rows."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -308,6 +309,41 @@ def test_attention_gradient():
     assert (at[0] - at[1]) / 0.02 == pytest.approx(float(np.linalg.norm(grad)), rel=0.05)
 
 
+def test_attention_probabilities_add_up():
+    rng = np.random.default_rng(3)
+    model, end = lm.Attention(6), 5
+    model.start_from(rng.integers(0, 6, 200))
+    model.vector += rng.normal(0, 0.3, model.vector.shape).astype(np.float32) * (model.vector > -20)
+    texts = [np.array(t, np.int32) for k in range(4) for t in itertools.product(range(5), repeat=k)]
+    windows = lm.Windows(texts, end)
+    each = model.score(windows)
+    whole = np.exp(np.add.reduceat(each, windows.starts))
+    begun = np.exp([each[a:a + 3].sum() for t, a in zip(texts, windows.starts, strict=True) if len(t) == 3])
+    short = [len(t) < 3 for t in texts]
+    # texts of up to two ids, and all that begin with three
+    assert whole[short].sum() + begun.sum() == pytest.approx(1.0, abs=1e-5)
+
+
+def test_attention_beats_word_counts_on_held_out_text():
+    # two languages of their own words: the context tells which, word counts cannot
+    rng = np.random.default_rng(5)
+    words = [[f"{a}{b}" for a in "kmnp" for b in s] for s in ("aeio", "uyrl")]
+
+    def text(k):
+        return " ".join(rng.choice(words[k % 2], 40)).encode()
+
+    sub = lm.Subwords(*lm.read_vocabulary(lm.VOCABULARY))
+    train, held = [text(k) for k in range(200)], [text(k) for k in range(40)]
+    windows = lm.Windows([sub.ids(t) for t in train], sub.end)
+    model = lm.Attention(sub.end + 1)
+    model.start_from(windows.target)
+    model.train(windows, 150, lm.FIRST_RATE)
+    c = Counter(w for t in train for w in [*t.split(), b"\n"])
+    n = sum(c.values())
+    base = sum(math.log10((c[w] + 0.1) / (n + 0.1 * (len(c) + 1))) for t in held for w in [*t.split(), b"\n"])
+    assert model.score(lm.Windows([sub.ids(t) for t in held], sub.end)).sum() / math.log(10) > base
+
+
 def test_lm_learns_from_every_training_document(spark):
     # each document has an id of its own, whose embedding moves only if the document is learned from
     sub = lm.Subwords(*lm.read_vocabulary(lm.VOCABULARY))
