@@ -10,7 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,6 +68,35 @@ def release(spark: SparkSession, keep: DataFrame | None = None) -> int:
     return gone
 
 
+class Scratch:
+    """Files of one task under the shared folder, named by the Hadoop or local path ``root``."""
+
+    def __init__(self, root: str):
+        self.fs, path = fs.FileSystem.from_uri(root) if ":" in root.split("/")[0] else (fs.LocalFileSystem(), root)
+        self.dir = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
+        self.made = False
+
+    def write(self, blocks: Iterator[bytes]) -> str:
+        if not self.made:
+            self.fs.create_dir(self.dir, recursive=True)
+            self.made = True
+        path = f"{self.dir}/{uuid.uuid4().hex}"
+        with self.fs.open_output_stream(path) as out:
+            for b in blocks:
+                out.write(b)
+        return path
+
+    def read(self, path: str, size: int) -> Iterator[bytes]:
+        with self.fs.open_input_stream(path) as src:
+            while block := src.read(size):
+                yield block
+        self.fs.delete_file(path)
+
+    def close(self) -> None:
+        if self.made:
+            self.fs.delete_dir(self.dir)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -113,17 +144,28 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def spare_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, made longer until no column of ``df`` has them in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame, once: bool = False, how: str = "left_semi") -> DataFrame:
     """Rows of ``docs``, all columns, whose (doc_id, hash of the text) is in
     ``kept(doc_id, text_hash)`` (not in it for ``left_anti``); with ``once``, one of
-    the rows that repeat both."""
-    ids = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")).distinct()
-    marked = docs.withColumn("_row_hash", F.xxhash64(text_or_empty("text")))
-    out = marked.join(ids, marked["doc_id"].eqNullSafe(ids["_kept_id"]) & (marked["_row_hash"] == ids["_kept_hash"]), how)
+    the rows that repeat both, which are combined before they are shuffled."""
+    row_hash, kept_id, kept_hash = spare_names(docs, "_row_hash", "_kept_id", "_kept_hash")
+    ids = kept.select(F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash)).distinct()
+    marked = docs.withColumn(row_hash, F.xxhash64(text_or_empty("text")))
+    out = marked.join(ids, marked["doc_id"].eqNullSafe(ids[kept_id]) & (marked[row_hash] == ids[kept_hash]), how)
     if once:
-        nth = Window.partitionBy("_row_hash", "doc_id").orderBy("_row_hash")
-        out = out.withColumn("_row_nth", F.row_number().over(nth)).filter("_row_nth = 1").drop("_row_nth")
-    return out.drop("_row_hash")
+        out = out.dropDuplicates([row_hash, "doc_id"])
+    return out.drop(row_hash)
 
 
 def empty_frame(spark: SparkSession, schema: str | T.StructType) -> DataFrame:

@@ -38,18 +38,16 @@ from __future__ import annotations
 
 import heapq
 import pickle
-import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import shared_dir, table, text_or_empty
+from cohortlab.llm.common import Scratch, shared_dir, table, text_or_empty
 
 LENGTH = 100
 GRAM = 16
@@ -62,35 +60,6 @@ PIECE = 1 << 19
 SIDES = 8
 
 
-class Scratch:
-    """Files of one task under the shared folder, named by the Hadoop or local path ``root``."""
-
-    def __init__(self, root: str):
-        self.fs, path = fs.FileSystem.from_uri(root) if ":" in root.split("/")[0] else (fs.LocalFileSystem(), root)
-        self.dir = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
-        self.made = False
-
-    def write(self, blocks: Iterator[bytes]) -> str:
-        if not self.made:
-            self.fs.create_dir(self.dir, recursive=True)
-            self.made = True
-        path = f"{self.dir}/{uuid.uuid4().hex}"
-        with self.fs.open_output_stream(path) as out:
-            for b in blocks:
-                out.write(b)
-        return path
-
-    def read(self, path: str, size: int) -> Iterator[bytes]:
-        with self.fs.open_input_stream(path) as src:
-            while block := src.read(size):
-                yield block
-        self.fs.delete_file(path)
-
-    def close(self) -> None:
-        if self.made:
-            self.fs.delete_dir(self.dir)
-
-
 class Queue:
     """Priority queue of tuples, taken in batches: keys (character 28 bits, order of the
     source 36), values (position 56 bits, common prefix 8). Pushes are sorted runs; runs of

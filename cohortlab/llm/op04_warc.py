@@ -9,20 +9,20 @@ written by any file system Spark knows, gzip-compressed and bounded in records.
 Reading: each archive is parsed by its Content-Length headers, payloads are digested
 again and compared with the header, and its captures leave as one run sorted by URL
 key and timestamp. Index: runs are cut at range borders of the key, and each range
-is a k-way merge of run pieces through a loser tree; pieces wait in unnamed files of
-the task, and more pieces than the fan-in are merged in several passes. Ranges in
+is a k-way merge of run pieces through a loser tree; beyond a number of rows in memory
+merged runs are stored in the shared folder, and merged again by the fan-in. Ranges in
 order are the globally ordered capture histories.
 
 Defined results: null html is an empty payload; a null url is empty; rows that repeat
-a page_id with an equal payload are all responses; pages without a page_id revisit
+a page_id with an equal payload are all responses under one record id; pages without a page_id revisit
 like others and are responses if no copy has an id. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import pickle
-import tempfile
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -30,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import ascii_lower, stage, stage_path, table
+from cohortlab.llm.common import Scratch, ascii_lower, shared_dir, stage, stage_path, table
 
 MIN_REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 64 << 20
 FAN_IN = 256
-SPOOL_ROWS = 512
+BLOCK_ROWS = 512
+HELD_ROWS = 32_768
 EPOCH = 1_577_836_800
 CRLF = "\r\n"
 # The revisit profile of the WARC 1.1 standard.
@@ -71,7 +72,9 @@ def plan_records(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFr
 
 
 def record_id(page_id: Column) -> Column:
-    h = F.md5(F.concat(F.lit("page/"), F.coalesce(page_id.cast("string"), F.lit("-"))))
+    """By page and payload, so that revisits can name it; pages without an id, which none names, get a random one."""
+    h = F.md5(F.concat(F.lit("page/"), page_id.cast("string"), F.lit("/"), F.col("digest")))
+    h = F.coalesce(h, F.md5(F.uuid()))
     return F.concat(F.lit("<urn:uuid:"), *[x for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
                                            for x in ([F.lit("-")] if a > 1 else []) + [F.substring(h, a, n)]], F.lit(">"))
 
@@ -103,8 +106,8 @@ def write_archives(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, archive
     """Write the archives into the shared folder and return their path."""
     spark = pages.sparkSession
     planned = plan_records(pages, min_bytes)
-    if fetched is None:  # pages are numbered in the order of their capture
-        fetched = F.timestamp_seconds(F.lit(EPOCH) + F.coalesce(F.col("page_id").cast("long"), F.lit(0)))
+    if fetched is None:  # pages are numbered in the order of their capture; ids beyond a billion start again
+        fetched = F.timestamp_seconds(F.lit(EPOCH) + F.coalesce(F.pmod(F.col("page_id"), F.lit(10 ** 9)), F.lit(0)))
     mean = pages.agg(F.avg(F.octet_length("html"))).first()[0] or 0
     path = stage_path(spark, "warc")
     (planned.select(record(planned, fetched).alias("value")).write
@@ -130,7 +133,7 @@ def parse_archive(data: bytes) -> Iterator[tuple[dict, bytes, int, int]]:
         head = {}
         for row in data[at:end].decode("utf-8", "surrogatepass").split(CRLF)[1:]:
             name, _, value = row.partition(":")
-            head[name.strip().lower()] = value.strip()
+            head[name.strip().lower()] = value.removeprefix(" ")
         size = int(head["content-length"])
         block = data[end + 4:end + 4 + size]
         if len(block) != size or data[end + 4 + size:end + 8 + size] != b"\r\n\r\n":
@@ -173,29 +176,6 @@ RUN_NAMES = [x.split()[0] for x in RUN_SCHEMA.split(", ")]
 RUN_TYPES = [pa.string() if x.split()[1] == "string" else pa.int64() for x in RUN_SCHEMA.split(", ")]
 
 
-class Spool:
-    """Rows of a sorted run in an unnamed file, read back a block at a time."""
-
-    def __init__(self, rows: Iterable[tuple]):
-        self.file = tempfile.TemporaryFile()
-        block = []
-        for row in rows:
-            block.append(row)
-            if len(block) == SPOOL_ROWS:
-                pickle.dump(block, self.file, 5)
-                block = []
-        pickle.dump(block, self.file, 5)
-        self.file.seek(0)
-
-    def __iter__(self) -> Iterator[tuple]:
-        while True:
-            block = pickle.load(self.file)
-            yield from block
-            if len(block) < SPOOL_ROWS:
-                self.file.close()
-                return
-
-
 def loser_tree(runs: list[Iterable[tuple]]) -> Iterator[tuple]:
     """Merge sorted runs: inner nodes keep the loser of their match, so each row
     taken costs one match a level against the stored losers."""
@@ -233,15 +213,54 @@ def loser_tree(runs: list[Iterable[tuple]]) -> Iterator[tuple]:
         champion = winner
 
 
-def merge_runs(runs: list[Iterable[tuple]], fan_in: int = FAN_IN) -> Iterator[tuple]:
-    while len(runs) > fan_in:
-        runs = [Spool(loser_tree(runs[i:i + fan_in])) for i in range(0, len(runs), fan_in)]
-    return loser_tree(runs)
-
-
-def merged_index(runs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
+def blocks_of(rows: Iterable[tuple]) -> Iterator[bytes]:
+    """Rows as pickled blocks, each behind its size in eight bytes."""
+    rows = iter(rows)
+    while block := list(itertools.islice(rows, BLOCK_ROWS)):
+        data = pickle.dumps(block, 5)
+        yield len(data).to_bytes(8, "little") + data
+
+
+def rows_back(scratch: Scratch, path: str) -> Iterator[tuple]:
+    """The rows of a stored run; its file is open from the first row to the last only."""
+    with scratch.fs.open_input_stream(path) as f:
+        while size := f.read(8):
+            yield from pickle.loads(f.read(int.from_bytes(size, "little")))
+    scratch.fs.delete_file(path)
+
+
+def merge_runs(pieces: Iterable[list[tuple]], scratch: Scratch, fan_in: int = FAN_IN, held_rows: int = HELD_ROWS) -> Iterator[tuple]:
+    """Rows of the sorted ``pieces`` in order. Pieces are merged as they come: beyond
+    ``held_rows`` rows those in memory become one stored run, and ``fan_in`` stored runs of a
+    level one run of the next, so no more than ``fan_in`` files are ever open."""
+    held, rows = [], 0
+    levels: list[list[str]] = []
+
+    def store(run: Iterable[tuple], level: int) -> None:
+        if level == len(levels):
+            levels.append([])
+        levels[level].append(scratch.write(blocks_of(run)))
+        if len(levels[level]) == fan_in:
+            full, levels[level] = levels[level], []
+            store(loser_tree([rows_back(scratch, p) for p in full]), level + 1)
+
+    for piece in pieces:
+        held.append(piece)
+        rows += len(piece)
+        if rows > held_rows:
+            store(loser_tree(held), 0)
+            held, rows = [], 0
+    stored = [p for level in levels for p in level]  # the small ones first
+    while len(stored) > fan_in:
+        first, stored = stored[:fan_in], stored[fan_in:]
+        stored.append(scratch.write(blocks_of(loser_tree([rows_back(scratch, p) for p in first]))))
+    yield from loser_tree([*held, *[rows_back(scratch, p) for p in stored]])
+
+
+def merged_index(runs: DataFrame, fan_in: int = FAN_IN, held_rows: int = HELD_ROWS) -> DataFrame:
     """Globally ordered captures: ``part`` and ``place`` order the whole index."""
     runs = stage(runs, "warc-runs")
+    root = f"{shared_dir(runs.sparkSession).rstrip('/')}/stage/warc-merges"
     order = ["urlkey", "captured_at", "page_id", "run", "offset"]
     rest = [c for c in runs.columns if c not in order]
     kinds = dict(runs.dtypes)
@@ -257,31 +276,25 @@ def merged_index(runs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
                 key = tuple((x is not None, x) if x is not None else (False,) for x in row[:5])
                 yield key, row
 
-    def pieces(rows: Iterator[tuple]) -> Iterator[Spool]:
-        row = next(rows, None)
-        while row is not None:
-            first, ahead = row, [None]
-
-            def piece(first=first, ahead=ahead):
-                yield first
-                for r in rows:
-                    if r[1][3] != first[1][3]:
-                        ahead[0] = r
-                        return
-                    yield r
-
-            yield Spool(piece())
-            row = ahead[0]
+    def pieces(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+        piece = []
+        for r in rows:
+            if piece and (r[1][3] != piece[0][1][3] or len(piece) == BLOCK_ROWS):
+                yield piece
+                piece = []
+            piece.append(r)
+        if piece:
+            yield piece
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, place = [], 0
-        merged = merge_runs(list(pieces(rows_of(batches))), fan_in)
-        for _, row in merged:
+        block, place, scratch = [], 0, Scratch(root)
+        for _, row in merge_runs(pieces(rows_of(batches)), scratch, fan_in, held_rows):
             block.append((*row, place))
             place += 1
             if len(block) == 4096:
                 yield batch_of(block)
                 block = []
+        scratch.close()
         if block:
             yield batch_of(block)
 
@@ -316,7 +329,7 @@ WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
 w AS (SELECT *, max(page_id) OVER (PARTITION BY d, n) AS first FROM p)
 SELECT page_id, n AS payload_bytes, d AS payload_digest,
-       CASE WHEN n >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN n >= 1000 AND page_id <> first THEN first END AS refers_to
+       CASE WHEN n >= 1000 AND coalesce(page_id <> first, first IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND coalesce(page_id <> first, first IS NOT NULL) THEN first END AS refers_to
 FROM w
 """

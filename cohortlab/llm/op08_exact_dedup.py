@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import stage, table, text_or_empty, without_white_space
+from cohortlab.llm.common import spare_names, stage, table, text_or_empty, without_white_space
 
 BUCKET_KEYS = 4096
 MAX_DEPTH = 16
@@ -93,15 +93,14 @@ def exact_dedup(docs: DataFrame, capacity: int = BUCKET_KEYS, max_depth: int = M
 
 def keep_first(docs: DataFrame, **params) -> DataFrame:
     """The rows of ``docs`` (all columns) that stay; of wholly repeated rows, one."""
+    keep_id, keep_sha, keep_cp, own_sha, own_cp = spare_names(docs, "_keep_id", "_keep_sha", "_keep_cp", "_own_sha", "_own_cp")
     kept = exact_dedup(docs, **params)["result"].filter("kept").select(
-        F.col("doc_id").alias("_keep_id"), F.unhex("text_sha256").alias("_keep_sha"), F.col("n_cp").alias("_keep_cp"))
-    marked = docs.withColumns({"_own_sha": F.unhex(F.sha2(without_white_space(text_or_empty("text")), 256)),
-                               "_own_cp": F.length(text_or_empty("text"))})
-    on = (F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("_own_sha") == F.col("_keep_sha"))
-          & (F.col("_own_cp") == F.col("_keep_cp")))
-    order = Window.partitionBy("_own_sha", "_own_cp", "doc_id").orderBy("_own_cp")
-    return (marked.join(kept.distinct(), on, "left_semi").withColumn("_nth", F.row_number().over(order))
-            .filter("_nth = 1").select(*[marked[c] for c in docs.columns]))
+        F.col("doc_id").alias(keep_id), F.unhex("text_sha256").alias(keep_sha), F.col("n_cp").alias(keep_cp))
+    marked = docs.withColumns({own_sha: F.unhex(F.sha2(without_white_space(text_or_empty("text")), 256)),
+                               own_cp: F.length(text_or_empty("text"))})
+    on = F.col("doc_id").eqNullSafe(F.col(keep_id)) & (F.col(own_sha) == F.col(keep_sha)) & (F.col(own_cp) == F.col(keep_cp))
+    # repeated rows are combined before they are shuffled
+    return marked.join(kept.distinct(), on, "left_semi").dropDuplicates([own_sha, own_cp, "doc_id"]).drop(own_sha, own_cp)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
