@@ -109,7 +109,9 @@ def assign_split_exact(df: DataFrame, key: str, test_size: float = S.TEST_SIZE,
 
 
 def assign_fold(df: DataFrame, key: str, k: int = S.CV_FOLDS, seed: int = S.RANDOM_STATE) -> DataFrame:
-    return df.withColumn("fold", F.pmod(hash_bits(key, f"{seed}|fold"), F.lit(k)).cast("int"))
+    """``fold`` from 0 to ``k - 1``; rows without a key are in fold 0."""
+    fold = F.pmod(hash_bits(key, f"{seed}|fold"), F.lit(k)).cast("int")
+    return df.withColumn("fold", F.coalesce(fold, F.lit(0)))
 
 
 # -- M7: evaluation -------------------------------------------------------------

@@ -416,6 +416,35 @@ def run_counts(spark, sf):
                     *[F.count_if(F.col("split") == s).alias(f"{s}_rows") for s in ("train", "val", "test")])
 
 
+def _filled_values(df: DataFrame, cols) -> DataFrame:
+    """(column, filled): values that are neither NULL nor zero, one aggregate."""
+    counts = df.agg(*[F.count_if(F.col(c) != 0).alias(f"{c}|filled") for c in cols])
+    return _long_table(counts, cols, {"filled": "long"})
+
+
+def feature_stats(spark, sf):
+    """E10 with the number of filled values behind every group's features."""
+    fe = featured(spark, sf)
+    filled = _filled_values(fe.frame, fe.features)
+    groups = F.array(*[F.when(F.col("column").rlike("|".join(keys)), F.lit(f"group_{g}")) for g, keys in S.FEATURE_GROUPS.items()])
+    by_group = (filled.withColumn("name", F.explode(F.filter(groups, lambda g: g.isNotNull())))
+                .groupBy("name").agg(F.sum("filled").alias("filled")))
+    all_rows = filled.agg(F.sum("filled").alias("filled")).withColumn("name", F.lit("final_feature_count"))
+    stats = spark.createDataFrame(fe.stats(), "name string, value long")  # a row for each group of names
+    return stats.join(by_group.unionByName(all_rows), "name", "left")
+
+
+def leakage_filter(spark, sf):
+    """M1 over the features and the table's own numbers: which columns a model may see."""
+    fe = featured(spark, sf)
+    numbers = [f.name for f in fe.frame.schema.fields
+               if isinstance(f.dataType, T.NumericType) and f.name in S.REQUIRED_COLUMNS]
+    cols = list(dict.fromkeys([*numbers, *fe.features]))
+    kept = M.leakage_filter(cols)
+    filled = _filled_values(fe.frame, cols).withColumnRenamed("column", "feature")
+    return filled.withColumn("kept", F.col("feature").isin(kept))
+
+
 def _gbt_data(spark, sf):
     fe = featured(spark, sf)
     feats = M.leakage_filter(fe.features)
@@ -613,6 +642,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q.update({
         "enc_frequency": enc_frequency, "enc_common": enc_common, "enc_flags": enc_flags,
         "score_early": score_early, "score_quality": score_quality, "feature_clean": feature_clean,
+        "feature_stats": feature_stats, "leakage_filter": leakage_filter,
         "split_exact": split_exact, "metric_report_naive": metric_report_naive, "run_counts": run_counts,
         "parse_day_inferred": parse_day_inferred, "split_assign": split_assign, "fold_assign": fold_assign, "label_encode": label_encode,
         "eval_metrics": eval_metrics, "cv_metrics": cv_metrics, "cv_summary": cv_summary,

@@ -33,6 +33,8 @@ CHANNEL_MAP = [("fb", "facebook"), ("meta", "facebook"), ("googleads", "google")
                ("unityads", "unity"), ("unity_ads", "unity"), ("ironsource", "ironsource")]
 COUNTRY_MAP = [("USA", "US"), ("UK", "GB"), ("UNITED KINGDOM", "GB")]
 TIER1 = ["US", "GB", "CA", "AU", "DE", "FR", "JP"]
+GROUPS = [("retention", "retention"), ("revenue", "revenue|arpi|arpu"), ("monetization", "payer|monetization"),
+          ("engagement", "session"), ("efficiency", "roas|cost|cpi"), ("categorical", "frequency|is_"), ("composite", "score")]
 SPLIT_DAY = "1998-04-17"
 DRIFT_NUM = ["installs", "network_cost", "revenue_d7", "revenue_d30", "sessions_d1", "retained_users_d7"]
 DRIFT_CAT = ["channel", "os_name", "country_code", "game_genre"]
@@ -449,6 +451,18 @@ def _q_features() -> dict:
     q["feature_clean"] = sql(full, union_all(
         f"SELECT '{f}' AS feature, count_if({f} IS NULL) AS nulls, round(sum(CAST({f} AS DOUBLE)), 4) AS total FROM enc"
         for f in feats))
+    cols = list(dict.fromkeys([*NUMERIC, *feats]))
+    counted = "SELECT " + ", ".join(f'count_if({c} <> 0) AS "{c}"' for c in cols) + " FROM enc"
+    filled = [f"value_counts AS ({counted})", "value_rows AS (UNPIVOT value_counts ON COLUMNS(*) INTO NAME feature VALUE filled)"]
+    q["leakage_filter"] = sql(full, *filled, "SELECT feature, CAST(filled AS BIGINT) AS filled, "
+                              "NOT regexp_matches(feature, 'd60|d90|d45|d120|d180') AS kept FROM value_rows")
+    of_model = "feature IN (" + ", ".join(f"'{f}'" for f in feats) + ")"
+    q["feature_stats"] = sql(full, *filled, union_all(
+        [f"SELECT 'initial_columns' AS name, CAST({len(COLS)} AS BIGINT) AS value, CAST(NULL AS BIGINT) AS filled",
+         "SELECT 'features_created' AS name, CAST(57 AS BIGINT) AS value, CAST(NULL AS BIGINT) AS filled",
+         f"SELECT 'final_feature_count' AS name, count(*) AS value, CAST(sum(filled) AS BIGINT) AS filled FROM value_rows WHERE {of_model}"]
+        + [f"SELECT 'group_{g}' AS name, count(*) AS value, CAST(sum(filled) AS BIGINT) AS filled FROM value_rows "
+           f"WHERE {of_model} AND regexp_matches(feature, '{keys}')" for g, keys in GROUPS]))
     return q
 
 

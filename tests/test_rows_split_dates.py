@@ -112,3 +112,16 @@ def test_categories_without_a_baseline_are_not_checked(spark):
     now = spark.createDataFrame([("a", "new", 1.0)] * 4, "c string, d string, t double")
     b = D.fit_baseline(base, ["c", "d"], "t")
     assert [r["column"] for r in D.categorical_drift(b, now, ["c", "d"]).collect()] == ["c"]
+
+
+def test_fractions_of_whole_number_columns_stay(spark):
+    df = cohort_frame(spark, [cohort_row()]).withColumn("installs", F.lit(10.9))
+    assert P.conform(df).first()["installs"] == 10.9
+    text = P.conform(df.withColumn("installs", F.lit("12")))
+    assert dict(text.dtypes)["installs"] == "bigint" and text.first()["installs"] == 12
+    assert P.conform(df.withColumn("installs", F.lit("twelve"))).first()["installs"] is None
+
+
+def test_rows_without_a_key_have_a_fold(spark):
+    df = spark.createDataFrame([(None,), (None,), (3,)], "k long")
+    assert all(r.fold is not None for r in M.assign_fold(df, "k").collect())
