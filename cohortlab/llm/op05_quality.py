@@ -1,8 +1,7 @@
 """Quality classifier: interpolated modified Kneser-Ney n-grams trained on trusted text.
 
 Trusted text is labelled rows of quality 1 that are not toxic. Half of them, by a hash of
-the id, set the thresholds; of the other half a bounded sample (``TRAIN_ROWS`` of each
-language, in hash order) is learned from. Words are cut at ASCII white space and lower-cased;
+the id, set the thresholds; all of the other half is learned from. Words are cut at ASCII white space and lower-cased;
 a text is ``<s> words </s>``. Counts of every order, continuation counts, discounts and
 context totals are grouped counts and joins, per language.
 
@@ -26,13 +25,12 @@ labels, keep every document. Other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlab.llm.common import WORD_SPLIT, ascii_lower, spare_names, stage, table, text_or_empty
 
 ORDER = 2
-TRAIN_ROWS = 300
 QUANTILE = 0.99
 SEND_BYTES = 64 << 20
 BEGIN, END = "<s>", "</s>"
@@ -69,10 +67,9 @@ def learnable() -> Column:
     return F.pmod(F.crc32(F.concat(F.lit("train "), F.col("doc_id").cast("string"))), F.lit(2)) == 0
 
 
-def training_ids(trusted: DataFrame, limit: int) -> DataFrame:
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return (trusted.select("lang", "doc_id").filter(learnable()).withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= limit)
-            .select("lang", "doc_id").distinct())
+def training_ids(trusted: DataFrame) -> DataFrame:
+    """All trusted ids of the half that is learned from."""
+    return trusted.filter(learnable()).select("lang", "doc_id").distinct()
 
 
 def train(texts: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
@@ -134,7 +131,7 @@ def perplexity(docs: DataFrame, weights: DataFrame, unknown: DataFrame, order: i
     every = [F.transform(grams_of(F.col("w"), k), lambda g: F.xxhash64("lang", g)) for k in range(1, order + 1)]
     keys = rows.select("rid", F.explode(F.concat(*every)).alias("key"))
     known = weights.select("key", "weight")
-    if weights.count() * 16 <= send_bytes:  # rows of two 8-byte numbers, from a bounded sample
+    if weights.count() * 16 <= send_bytes:  # rows of two 8-byte numbers
         known = F.broadcast(known)
     found = (keys.join(known, "key").groupBy("rid").agg(F.sum("weight").alias("found")))
     sizes = docs.select("rid", "lang", (F.size(tokens(F.col("text"))) - 1).cast("long").alias("n_tokens"))
@@ -144,11 +141,10 @@ def perplexity(docs: DataFrame, weights: DataFrame, unknown: DataFrame, order: i
     return scored.select("rid", "lang", "n_tokens", "log_prob", F.exp(-F.col("log_prob") / F.col("n_tokens")).alias("perplexity"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, train_rows: int = TRAIN_ROWS,
-             quantile: float = QUANTILE) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE) -> DataFrame:
     """``doc_id, text_hash, lang, n_tokens, log_prob, perplexity, threshold, kept`` for every row."""
     trusted = trusted_rows(docs, labels)
-    ids = stage(training_ids(trusted, train_rows), "kn-training")
+    ids = stage(training_ids(trusted), "kn-training")
     weights, unknown = train(trusted.join(ids, ["lang", "doc_id"], "left_semi").select("lang", "text"), order)
     # rows of one id, language and text are scored once: the n-grams of copies must not add up
     source = docs.select("doc_id", language().alias("lang"), text_or_empty("text").alias("text"))
