@@ -34,7 +34,8 @@ def test_day_format_parses_distinct_values(spark, monkeypatch):
     assert X.infer_day_format(df.filter("day is null or day = 'bad'")) is None
     # the parses stand above the grouping of equal values
     lines = plans[0].splitlines()
-    assert "gettimestamp" in lines[0] and any(x.lstrip(" +-").startswith("Aggregate [") and "day" in x for x in lines[1:])
+    assert "gettimestamp" in lines[0] and any("Aggregate [" in x for x in lines[1:])
+    assert not any("gettimestamp" in x for x in lines[1:])
 
 
 def test_row_keys_are_made_once(spark):
