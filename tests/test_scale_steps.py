@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from cohortlab.functions import exprs as X
 from cohortlab.functions import quantiles as QU
+from cohortlab.operators import drift as D
 from cohortlab.operators import model as M
+from cohortlab.plans import queries as P
 from cohortlab.plans.flow import CohortRun, RunConfig
 from conftest import cohort_frame, cohort_row
 
@@ -56,3 +58,19 @@ def test_fit_rows_are_dealt_evenly(spark):
     df = spark.range(200).select(F.col("id").cast("double").alias("x"), (F.col("id") * 2.0).alias("y")).coalesce(1)
     fit = M.fit_gbt(df, ["x"], "y", M.GBTConfig(n_estimators=2, max_depth=2, rows_per_task=100))
     assert fit.n_trees == 2 and fit.predict(df, "y").count() == 200
+
+
+def test_category_values_are_counted_once(spark):
+    df = spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "a string")
+    shares = D.category_shares(df, ["a"])
+    assert "Generate" not in plan(shares)
+    assert {(r["value"], r["count"], r["rank"]) for r in shares.collect()} == {("x", 2, 1), ("y", 1, 2)}
+
+
+def test_drift_writes_what_it_reads(spark, monkeypatch):
+    rows = cohort_frame(spark, [cohort_row(installs=100 + i, channel="Face-Book _9K") for i in range(4)]).withColumn("k", F.col("installs"))
+    monkeypatch.setattr(P, "raw", lambda *_: rows)
+    base, current = P.drift_frames(spark, None)
+    assert "revenue_d60" not in base.columns and base.unionByName(current).count() == 4
+    assert {r["channel"] for r in rows.select(X.norm_channel("channel").alias("channel")).collect()} == {"facebook_9k"}
+    assert "revenue_d60" in P.cleaned(spark, None).frame.columns
