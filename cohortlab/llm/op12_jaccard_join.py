@@ -174,23 +174,29 @@ def scaled(values: np.ndarray, parts: int) -> np.ndarray:
     return ((values >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def shared_pairs(value: np.ndarray, sid: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The pairs, once, whose shingle another set has, with its number of sets."""
+def shared_pairs(value: np.ndarray, owner: np.ndarray, sids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The pairs, once, whose shingle another set has, with its number of sets. ``owner`` is a
+    place in ``sids`` and ``sizes``; ids and sizes are spread over pairs at the end only."""
+    own, at, of = np.unique(sids, return_index=True, return_inverse=True)
+    owner, size = of.astype(np.uint32)[owner], sizes[at]
+    del at, of
     order = np.argsort(value, kind="stable")
-    value = value[order]
+    value, owner = value[order], owner[order]
+    del order
     same = value[1:] == value[:-1]
     more = np.append(same, False) | np.append(False, same)
-    order = order[more]
-    value, sid, size = value[more], sid[order], size[order]
-    order = np.lexsort((sid, value))
-    value, sid, size = value[order], sid[order], size[order]
-    once = np.append(True, (value[1:] != value[:-1]) | (sid[1:] != sid[:-1]))[:len(value)]
-    value, sid, size = value[once], sid[once], size[once]
-    _, at, end = runs(value)
-    lengths = np.subtract(end, at).astype(np.int64)
+    value, owner = value[more], owner[more]
+    order = np.lexsort((owner, value))
+    value, owner = value[order], owner[order]
+    del order, same, more
+    once = np.append(True, (value[1:] != value[:-1]) | (owner[1:] != owner[:-1]))[:len(value)]
+    value, owner = value[once], owner[once]
+    starts = np.flatnonzero(np.append(True, value[1:] != value[:-1])[:len(value)])
+    lengths = np.diff(np.append(starts, len(value)))
     times = np.repeat(lengths, lengths)
     two = times > 1
-    return value[two], sid[two], size[two], np.minimum(times[two], COMMON_COUNT - 1)
+    value, owner = value[two], owner[two]
+    return value, own[owner], size[owner], np.minimum(times[two], COMMON_COUNT - 1)
 
 
 def answer_buckets(parts: int, most: int):
@@ -205,9 +211,12 @@ def answer_buckets(parts: int, most: int):
         def close() -> None:
             nonlocal n_ready
             if held:
-                ready.append(shared_pairs(*(np.concatenate(c) for c in zip(*held, strict=True))))
-                n_ready += len(ready[-1][0])
+                begun = np.cumsum([0, *(len(h[2]) for h in held[:-1])])
+                owner = np.concatenate([of + np.uint32(k) for k, (_, of, *_) in zip(begun.tolist(), held, strict=True)])
+                value, sids, sizes = (np.concatenate([h[k] for h in held]) for k in (0, 2, 3))
                 held.clear()
+                ready.append(shared_pairs(value, owner, sids, sizes))
+                n_ready += len(ready[-1][0])
 
         def pack_up() -> pa.RecordBatch:
             nonlocal n_ready
@@ -236,8 +245,7 @@ def answer_buckets(parts: int, most: int):
                         yield pack_up()
                 sids_, sizes_ = np.frombuffer(sids, np.int64), np.frombuffer(sizes, np.int64)
                 if bucket >= 0:
-                    of = planes(owners, n, np.uint32)
-                    held.append((planes(shingles, n, np.uint64), sids_[of], sizes_[of]))
+                    held.append((planes(shingles, n, np.uint64), planes(owners, n, np.uint32), sids_, sizes_))
                 elif sids not in seen:
                     seen.add(sids)
                     ready.append((np.frombuffer(shingles, np.uint64), np.repeat(sids_, n), np.repeat(sizes_, n), np.full(n, COMMON_COUNT)))

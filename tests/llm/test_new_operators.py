@@ -278,3 +278,49 @@ def test_repair_query_on_table(spark):
 def test_repair_of_no_rows(spark, tmp_path):
     spark.createDataFrame([], TURNS).write.parquet(f"{tmp_path}/conversations.parquet")
     assert repair.query(spark, str(tmp_path)).count() == 0
+
+
+def test_shared_pairs_hold_owners_not_ids():
+    import tracemalloc
+
+    import numpy as np
+
+    from cohortlab.llm import op12_jaccard_join as J
+
+    r = np.random.default_rng(5)
+    n, n_sets = 200_000, 300
+    sids, sizes = r.integers(-(1 << 62), 1 << 62, n_sets), r.integers(1, 900, n_sets)
+    value, owner = r.integers(0, 9_000, n).astype(np.uint64), r.integers(0, n_sets, n).astype(np.uint32)
+    tracemalloc.start()
+    got = J.shared_pairs(value, owner, np.append(sids, sids[:1]), np.append(sizes, sizes[:1]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 75 * n  # 110 bytes a pair, and 48 before the call, with ids and sizes for each pair
+    pairs = set(zip(value.tolist(), sids[owner].tolist()))
+    times = {}
+    for v, _ in pairs:
+        times[v] = times.get(v, 0) + 1
+    size = dict(zip(sids.tolist(), sizes.tolist()))
+    want = sorted((v, s, size[s], times[v]) for v, s in pairs if times[v] > 1)
+    assert sorted(zip(*(c.tolist() for c in got))) == want
+
+
+def test_parity_lists_are_decoded():
+    from cohortlab.llm import op09_sentencepiece as S
+
+    with open(S.MODEL_PATH, "rb") as f:
+        codec = S.Codec(f.read())
+    decoded, said, encode, decode = [], [], codec.library.encode, codec.decode
+
+    class Library:
+        def encode(self, texts, num_threads):
+            said.append(encode(texts, num_threads=num_threads))
+            return said[-1]
+
+    codec.library = Library()
+    codec.decode = lambda ids: (decoded.append(ids), decode(ids))[1]
+    texts = ["one two one", "", "a  b", " c", "zwölf two"]
+    for _ in range(2):  # new words, then known ones
+        got = codec.encode(texts)
+        assert [(t[1], t[2]) for t in got] == [(True, True)] * len(texts)
+    assert all(a is b for ours, theirs in zip(decoded, said, strict=True) for a, b in zip(ours, theirs, strict=True))
