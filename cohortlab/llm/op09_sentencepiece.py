@@ -182,9 +182,11 @@ class Codec:
 
     def judged(self, texts: list[str], ids: list[bytes]) -> list[tuple[bytes, bool, bool]]:
         """Ids as bytes, round trip and parity of whole texts."""
-        back = self.decode([array("i", i).tolist() for i in ids])
         said = self.library.encode(texts, num_threads=self.threads)
-        return [(i, b == t, i == array("i", r).tobytes()) for i, b, t, r in zip(ids, back, texts, said, strict=True)]
+        same = [i == array("i", r).tobytes() for i, r in zip(ids, said, strict=True)]
+        # where the library gave equal ids, they are not made into a list again
+        back = self.decode([r if s else array("i", i).tolist() for i, r, s in zip(ids, said, same, strict=True)])
+        return [(i, b == t, s) for i, b, t, s in zip(ids, back, texts, same, strict=True)]
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids of texts taken whole."""
@@ -212,23 +214,15 @@ class Codec:
             for i, found in zip(whole, self.whole([texts[i] for i in whole]), strict=True):
                 out[i] = found
         table, taken = self.words, set(whole)
-        gaps = {}
-        for i, text in enumerate(texts):
-            if text and i not in taken:
-                words = text.split(" ")
-                found = list(map(table.get, words))
-                if None in found:
-                    gaps[i] = words, found
-                else:
-                    out[i] = b"".join(found)
-        new = {w for words, found in gaps.values() for w, f in zip(words, found, strict=True) if f is None}
+        cut = [(i, text.split(" ")) for i, text in enumerate(texts) if text and i not in taken]
+        new = set().union(*(words for _, words in cut)).difference(table)
         again = new.intersection(self.older)
         table.update((w, self.older[w]) for w in again)
         new -= again
         if new:
             self.learn(sorted(new))
-        for i, (words, found) in gaps.items():
-            out[i] = b"".join([table[w] if f is None else f for w, f in zip(words, found, strict=True)])
+        for i, words in cut:
+            out[i] = b"".join(map(table.__getitem__, words))
         if len(table) > self.word_table // 2:  # words that were not met again go with the older half
             self.older, self.words = table, {}
         return self.judged(texts, out)
