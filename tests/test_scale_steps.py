@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortlab.functions import exprs as X
 from cohortlab.functions import quantiles as QU
+from cohortlab.operators import clean as C
 from cohortlab.operators import drift as D
 from cohortlab.operators import model as M
 from cohortlab.plans import queries as P
@@ -74,3 +75,44 @@ def test_drift_writes_what_it_reads(spark, monkeypatch):
     assert "revenue_d60" not in base.columns and base.unionByName(current).count() == 4
     assert {r["channel"] for r in rows.select(X.norm_channel("channel").alias("channel")).collect()} == {"facebook_9k"}
     assert "revenue_d60" in P.cleaned(spark, None).frame.columns
+
+
+def test_caps_are_fitted_on_written_rows(spark, monkeypatch):
+    seen, fit = [], C.fit_caps
+    monkeypatch.setattr(C, "fit_caps", lambda df, *args: (seen.append(plan(df)), fit(df, *args))[1])
+    rows = cohort_frame(spark, [cohort_row(installs=100 + i, revenue_d1=float(i), channel="Face-Book", network_cost=None if i == 3 else 5.0)
+                                for i in range(8)])
+    whole = C.clean(rows)
+    some = C.clean(rows, columns=["day", "installs", "revenue_d1"])
+    for text in (*seen, plan(whole.frame), plan(some.frame)):
+        assert "regexp_replace" not in text and "Join" not in text and "gettimestamp" not in text
+    assert whole.caps == some.caps and some.frame.columns == ["day", "installs", "revenue_d1"]
+    assert whole.frame.columns == rows.columns and whole.fills == {"network_cost": 1}
+    want = sorted(tuple(r) for r in whole.frame.select(*some.frame.columns).collect())
+    assert sorted(tuple(r) for r in some.frame.collect()) == want
+
+
+def test_whole_quantiles_count_by_one_number(spark, monkeypatch):
+    plans, staged = [], QU.staged
+    monkeypatch.setattr(QU, "staged", lambda df, name: (plans.append(plan(df)), staged(df, name))[1])
+    df = spark.createDataFrame([(float(i), -float(i * i)) for i in range(101)], "a double, b double")
+    for bins in (2, 7, QU.BINS):
+        got = {(r["column"], r["prob"]): r["value"] for r in QU.quantile_table(df, ["a", "b"], [0.25, 0.99], bins=bins).collect()}
+        assert got == {("a", 0.25): 25.0, ("a", 0.99): 99.0, ("b", 0.25): -5625.0, ("b", 0.99): -1.0}
+    assert all("Aggregate [key" in p for p in plans)
+
+
+def test_ks_values_carry_no_names(spark):
+    a = spark.createDataFrame([(1.0, None), (2.0, float("nan")), (3.0, 4.0)], "long_name double, other_name double")
+    b = spark.createDataFrame([(2.5, 4.0), (3.5, None)], "long_name double, other_name double")
+    found = D.ks_two_sample(a, b, ["other_name", "long_name"])
+    got = {r["column"]: (round(r["statistic"], 6), r["n_a"], r["n_b"]) for r in found.collect()}
+    assert got == {"long_name": (0.666667, 3, 2), "other_name": (0.0, 1, 1)}
+    assert "posexplode(" in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_title_case_of_one_run(spark):
+    texts = ["puzzle", "STRATEGY ", "abc\n", "role-playing", "match-3 casual", " lead", "ßa", "éCOLE x", "", "  ", None]
+    want = ["Puzzle", "Strategy", "Abc", "Role-Playing", "Match-3 Casual", "Lead", "SSa", "École X", "", "", None]
+    df = spark.createDataFrame(list(zip(range(len(texts)), texts)), "i int, t string")
+    assert [r["x"] for r in df.select("i", X.title_case("t").alias("x")).orderBy("i").collect()] == want
