@@ -82,8 +82,8 @@ def test_caps_are_fitted_on_written_rows(spark, monkeypatch):
     monkeypatch.setattr(C, "fit_caps", lambda df, *args: (seen.append(plan(df)), fit(df, *args))[1])
     rows = cohort_frame(spark, [cohort_row(installs=100 + i, revenue_d1=float(i), channel="Face-Book", network_cost=None if i == 3 else 5.0)
                                 for i in range(8)])
-    whole = C.clean(rows)
-    some = C.clean(rows, columns=["day", "installs", "revenue_d1"])
+    whole = C.clean(rows, write=True)
+    some = C.clean(rows, columns=["day", "installs", "revenue_d1"], write=True)
     for text in (*seen, plan(whole.frame), plan(some.frame)):
         assert "regexp_replace" not in text and "Join" not in text and "gettimestamp" not in text
     assert whole.caps == some.caps and some.frame.columns == ["day", "installs", "revenue_d1"]
