@@ -6,8 +6,8 @@ a Unigram with their scores. BPE models become a BPE whose merges are the splits
 each piece into two pieces, ranked by the piece's score. Where no piece holds a marker
 behind another sign, merges never cross words: texts are cut at the markers, and each
 distinct word of a worker goes through the pipeline once. Batches are encoded on
-several threads. The ids of every row's whole text are decoded again and compared with
-the text, and compared with the ids that the sentencepiece library gives the whole text.
+several threads. The ids of every row's whole text are decoded again (pieces are joined
+here; texts with bytes beyond ASCII by the library's decoder) and compared with the text, and compared with the ids that the sentencepiece library gives the whole text.
 
 Defined results: a null or empty text has no ids, decodes to the empty text and is
 in parity. Rows and columns besides doc_id and text do not matter; an empty table gives
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -154,6 +155,13 @@ def build_tokenizer(model: dict):
     return tok
 
 
+def spelling(piece: str) -> str | None:
+    """The text of a piece; None of a byte beyond ASCII, which is no sign by itself."""
+    if not re.fullmatch("<0x[0-9A-Fa-f]{2}>", piece):
+        return piece
+    return chr(code) if (code := int(piece[3:5], 16)) < 128 else None
+
+
 class Codec:
     """Encoder and decoder of one model in one Python worker.
 
@@ -177,6 +185,7 @@ class Codec:
 
         self.bare = Tokenizer(self.tok.model)
         self.opens = np.array([p.startswith(MARK) for p, *_ in m["pieces"]])
+        self.spelled = [spelling(p) for p, *_ in m["pieces"]]
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -228,7 +237,22 @@ class Codec:
         return self.judged(texts, out)
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.tok.decode_batch(ids, skip_special_tokens=False)
+        """Texts of the ids. Lists without byte pieces beyond ASCII are joined here, the steps of the
+        tokenizer's decoder in its order; the others go through that decoder."""
+        out, rest, spelled = [], [], self.spelled.__getitem__
+        for k, each in enumerate(ids):
+            try:
+                text = "".join(map(spelled, each))
+            except TypeError:  # a byte that others complete
+                text = ""
+                rest.append(k)
+            if self.model["escape"]:
+                text = text.replace(MARK, " ")
+            out.append(text[1:] if self.model["prefix"] and text.startswith(" ") else text)
+        if rest:
+            for k, text in zip(rest, self.tok.decode_batch([ids[k] for k in rest], skip_special_tokens=False), strict=True):
+                out[k] = text
+        return out
 
 
 _codec: dict[tuple, Codec] = {}
