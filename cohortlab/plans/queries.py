@@ -415,10 +415,15 @@ def run_counts(spark, sf):
                     *[F.count_if(F.col("split") == s).alias(f"{s}_rows") for s in ("train", "val", "test")])
 
 
-def _filled_values(df: DataFrame, cols) -> DataFrame:
-    """(column, filled): values that are neither NULL nor zero, one aggregate."""
-    counts = df.agg(*[F.count_if(F.col(c) != 0).alias(f"{c}|filled") for c in cols])
-    return _long_table(counts, cols, {"filled": "long"})
+def _filled_values(df: DataFrame, cols, together: int = 8) -> DataFrame:
+    """(column, filled): values that are neither NULL nor zero. An aggregate takes ``together``
+    columns: the code generated for all features in one is too long for the JVM to compile."""
+    def part(some) -> DataFrame:
+        counts = df.agg(*[F.count_if(F.col(c) != 0).alias(f"{c}|filled") for c in some])
+        return _long_table(counts, some, {"filled": "long"})
+
+    cols = list(cols)
+    return reduce(DataFrame.union, [part(cols[k:k + together]) for k in range(0, len(cols), together) or [0]])
 
 
 def feature_stats(spark, sf):

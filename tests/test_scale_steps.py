@@ -116,3 +116,10 @@ def test_title_case_of_one_run(spark):
     want = ["Puzzle", "Strategy", "Abc", "Role-Playing", "Match-3 Casual", "Lead", "SSa", "École X", "", "", None]
     df = spark.createDataFrame(list(zip(range(len(texts)), texts)), "i int, t string")
     assert [r["x"] for r in df.select("i", X.title_case("t").alias("x")).orderBy("i").collect()] == want
+
+
+def test_filled_values_are_counted_few_columns_at_a_time(spark):
+    df = spark.createDataFrame([(1, 0, None, 2.5), (0, 0, 3, 0.0)], "a long, b long, c long, d double")
+    got = P._filled_values(df, ["a", "b", "c", "d"], together=3)
+    assert plan(got).count("count_if") + plan(got).count("count(") == 4 and plan(got).count("Aggregate") == 2
+    assert {r["column"]: r["filled"] for r in got.collect()} == {"a": 1, "b": 0, "c": 1, "d": 1}
